@@ -145,9 +145,9 @@ def first_seen(wide: DataFrame, pages: DataFrame | None = None) -> DataFrame:
         order = F.col("page_order")
     key = F.when(
         F.col("body_tf") > 0,
-        F.struct(order.alias("page_order"), F.lit(0).alias("field_order"), F.element_at("body_positions", 1).alias("pos")),
+        F.struct(order.alias("page_order"), F.lit(0).alias("field_order"), F.try_element_at("body_positions", F.lit(1)).alias("pos")),
     ).otherwise(
-        F.struct(order.alias("page_order"), F.lit(1).alias("field_order"), F.element_at("title_positions", 1).alias("pos"))
+        F.struct(order.alias("page_order"), F.lit(1).alias("field_order"), F.try_element_at("title_positions", F.lit(1)).alias("pos"))
     )
     return w.select("term", key.alias("k")).groupBy("term").agg(F.min("k").alias("k")).select("term", "k.*")
 
