@@ -205,6 +205,11 @@ def dedupe_pages(pages: DataFrame, order_col: str = "page_id") -> DataFrame:
     return pages.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def term_bucket(term: Column, buckets: int) -> Column:
+    """Hash bucket of a term; the stored index is partitioned by it."""
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
 @dataclass
 class Index:
     """The materialisable index tables of one corpus."""
@@ -213,6 +218,15 @@ class Index:
     wide: DataFrame
     term_df: DataFrame
     weights: DataFrame
+    term_buckets: int | None = None  # set when wide/weights are stored by term bucket
+
+    def term_keys(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+        """Join keys against ``wide``/``weights``: (term_bucket, term) for a
+        stored index, so dynamic partition pruning reads only the buckets of
+        the requested terms; plain term otherwise."""
+        if self.term_buckets:
+            return df.withColumn("term_bucket", term_bucket(F.col("term"), self.term_buckets)), ["term_bucket", "term"]
+        return df, ["term"]
 
     def postings(self, field: str | None = None) -> DataFrame:
         return postings(self.wide, field)
