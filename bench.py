@@ -39,6 +39,7 @@ from quarry.operators.index import build_index  # noqa: E402
 from quarry.operators.links import child_links, extract_links, parent_links  # noqa: E402
 from quarry.operators.report import page_blocks  # noqa: E402
 from quarry.operators.results import recent_distinct  # noqa: E402
+from quarry.operators.util import rebalance_small_input  # noqa: E402
 from quarry.plans.catalog import benchmark_queries, crawl_index  # noqa: E402
 from quarry.session import local_session  # noqa: E402
 from quarry.sources.corpus import documents_as_corpus, read_pages, read_table  # noqa: E402
@@ -68,7 +69,7 @@ def main() -> None:
     index_path = os.path.join(scratch, "index")
 
     def build():
-        corpus = documents_as_corpus(read_table(spark, sf_dir, "documents"))
+        corpus = rebalance_small_input(documents_as_corpus(read_table(spark, sf_dir, "documents")), "page_id")
         tokens = analyze(corpus, load_stopwords(spark))
         write_index(build_index(tokens, corpus), index_path)
 

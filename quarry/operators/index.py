@@ -30,14 +30,23 @@ TITLE_WEIGHT = 2.0
 
 
 def wide_postings(tokens: DataFrame) -> DataFrame:
-    """``(page_id, term, body_tf, title_tf, body_positions, title_positions)``."""
-    is_body = F.col("field") == "body"
-    is_title = F.col("field") == "title"
-    return tokens.groupBy("page_id", "term").agg(
-        F.count_if(is_body).alias("body_tf"),
-        F.count_if(is_title).alias("title_tf"),
-        F.array_sort(F.collect_list(F.when(is_body, F.col("pos")))).alias("body_positions"),
-        F.array_sort(F.collect_list(F.when(is_title, F.col("pos")))).alias("title_positions"),
+    """``(page_id, term, body_tf, title_tf, body_positions, title_positions)``.
+
+    One aggregate buffer per (page, term): the (field, position) pairs are
+    collected once, sorted (body first, positions ascending) and split by
+    field with array functions."""
+    field_order = F.when(F.col("field") == "body", F.lit(0)).otherwise(F.lit(1))
+    occ = F.struct(field_order.alias("f"), F.col("pos").alias("p"))
+    grouped = tokens.groupBy("page_id", "term").agg(F.array_sort(F.collect_list(occ)).alias("occ"))
+    body = F.transform(F.filter("occ", lambda o: o["f"] == 0), lambda o: o["p"])
+    title = F.transform(F.filter("occ", lambda o: o["f"] == 1), lambda o: o["p"])
+    return grouped.select("page_id", "term", body.alias("body_positions"), title.alias("title_positions")).select(
+        "page_id",
+        "term",
+        F.size("body_positions").cast("long").alias("body_tf"),
+        F.size("title_positions").cast("long").alias("title_tf"),
+        "body_positions",
+        "title_positions",
     )
 
 

@@ -22,6 +22,20 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+def rebalance_small_input(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A large input arrives in many file splits and is left alone (no shuffle
+    of raw text). A small one (e.g. one Parquet row group) would run the
+    whole analysis in one task; it is hash-partitioned by ``key`` instead,
+    which also satisfies a later ``groupBy(key, ...)`` without an exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
+
+
 def dense_index(df: DataFrame, order: list[Column], name: str, start: int = 1) -> DataFrame:
     """Add a dense 1-based position ``name`` in the total order ``order``.
 

@@ -39,6 +39,7 @@ from quarry.operators.links import (
 )
 from quarry.operators.report import format_results, page_blocks
 from quarry.operators.results import enrich_results, paginate, recent_distinct
+from quarry.operators.util import rebalance_small_input
 from quarry.sources.corpus import documents_as_corpus, pages_as_corpus, read_pages, read_table
 from quarry.sources.stopwords import load_stopwords
 
@@ -54,7 +55,7 @@ class DocumentsIndex:
 
 
 def documents_index(spark: SparkSession, sf_dir: str) -> DocumentsIndex:
-    corpus = documents_as_corpus(read_table(spark, sf_dir, "documents"))
+    corpus = rebalance_small_input(documents_as_corpus(read_table(spark, sf_dir, "documents")), "page_id")
     stops = load_stopwords(spark)
     tokens = analyze(corpus, stops)
     return DocumentsIndex(corpus, stops, tokens, build_index(tokens, corpus))
@@ -74,9 +75,8 @@ def crawl_index(spark: SparkSession, sf_dir: str) -> CrawlIndex:
     raw = read_table(spark, sf_dir, "pages")
     snapshot = read_pages(raw)
     tree = crawl_tree(derived_edges(snapshot), snapshot)
-    corpus = (
-        pages_as_corpus(raw)
-        .join(tree.select("page_id", F.col("visit_order").alias("page_order")), "page_id")
+    corpus = rebalance_small_input(pages_as_corpus(raw), "page_id").join(
+        tree.select("page_id", F.col("visit_order").alias("page_order")), "page_id"
     )
     tokens = analyze(corpus, load_stopwords(spark))
     return CrawlIndex(snapshot, tree, corpus, build_index(tokens, corpus))
