@@ -257,3 +257,40 @@ def build_index(tokens: DataFrame, corpus: DataFrame) -> Index:
 
 def positions_as_csv(df: DataFrame, col: str = "positions") -> DataFrame:
     return df.withColumn(col, positions_csv(F.col(col)))
+
+
+def assign_page_ids(snapshot: DataFrame, stored_pages: DataFrame) -> DataFrame:
+    """Give pages of a snapshot their ids: a known URL keeps its stored id
+    (first writer wins), a new URL gets the next free id, in URL order."""
+    snap = snapshot.drop("page_id") if "page_id" in snapshot.columns else snapshot
+    known = snap.join(stored_pages.select("url", "page_id"), "url")
+    fresh = snap.join(stored_pages.select("url"), "url", "left_anti")
+    top = stored_pages.agg(F.coalesce(F.max("page_id"), F.lit(-1)).alias("m")).scalar()
+    fresh = dense_index(fresh, [F.col("url")], "_rank").withColumn("page_id", (top + F.col("_rank")).cast("long")).drop("_rank")
+    return known.unionByName(fresh)
+
+
+def merge_index(old: Index, new_pages: DataFrame, new_wide: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Replace the postings of changed pages (idempotent, unlike adding tf
+    and df on re-crawl): ``(pages, wide)`` = old rows of unchanged pages
+    union the new rows. ``new_pages`` carry their final page ids."""
+    kept = old.pages.join(new_pages.select("url"), "url", "left_anti")
+    pages = kept.unionByName(new_pages.select(*kept.columns))
+    cols = [c for c in new_wide.columns if c != "term_bucket"]
+    old_wide = old.wide.select(*cols)
+    wide = old_wide.join(kept.select("page_id"), "page_id", "left_semi").unionByName(new_wide.select(*cols))
+    return pages, wide
+
+
+def refresh_index(old: Index, snapshot: DataFrame, analyze_fn) -> Index:
+    """Re-index the pages of ``snapshot`` that are new or changed (by
+    last_modified) and rebuild df and weights; unchanged pages are not
+    re-analysed. ``analyze_fn(corpus) -> tokens``."""
+    from quarry.operators.links import changed_pages
+
+    changed = assign_page_ids(changed_pages(snapshot, old.pages), old.pages)
+    new_wide = wide_postings(analyze_fn(changed))
+    cols = [c for c in old.pages.columns if c in changed.columns]
+    pages, wide = merge_index(Index(old.pages.select(*cols), old.wide, old.term_df, old.weights), changed.select(*cols), new_wide)
+    tdf = term_df(wide)
+    return Index(pages=pages, wide=wide, term_df=tdf, weights=document_weights(wide, pages, tdf))

@@ -23,10 +23,12 @@ from quarry.operators.index import (
     Index,
     assign_word_ids,
     build_index,
+    dedupe_pages,
     doc_count,
     document_frequency,
     max_tf,
     postings,
+    refresh_index,
     term_totals,
 )
 from quarry.operators.links import (
@@ -350,6 +352,35 @@ def q_changed_pages(spark, sf_dir):
     return changed_pages(pages.unionByName(docs), pages).select("url")
 
 
+def q_merge_index(spark, sf_dir):
+    """The documents index refreshed with the page table as a new snapshot:
+    every page URL is new, gets the next free id (URL order) and its
+    postings are merged in; df and weights are rebuilt over the union."""
+    d = documents_index(spark, sf_dir)
+    snapshot = pages_as_corpus(read_table(spark, sf_dir, "pages"))
+    merged = refresh_index(d.index, snapshot, lambda c: analyze(c, d.stops))
+    p = postings(merged.wide)
+    return p.select("field", "term", "page_id", "tf", positions_csv(F.col("positions")).alias("positions"))
+
+
+def q_dedupe_pages(spark, sf_dir):
+    """Page table plus documents-as-pages, one row per URL (first writer =
+    lowest page id wins)."""
+    pages = read_pages(read_table(spark, sf_dir, "pages")).select("page_id", "url", "size")
+    docs = documents_as_corpus(read_table(spark, sf_dir, "documents")).select("page_id", "url", "size")
+    return dedupe_pages(pages.unionByName(docs)).select("page_id", "url", "size")
+
+
+def q_term_df_lookup(spark, sf_dir):
+    return lookup.term_df_lookup(_benchmark_terms(spark, sf_dir), documents_index(spark, sf_dir).index)
+
+
+def q_page_max_tf(spark, sf_dir):
+    d = documents_index(spark, sf_dir)
+    urls = d.corpus.select("url").unionByName(read_table(spark, sf_dir, "pages").select("url"))
+    return lookup.page_max_tf(urls, d.index)
+
+
 def q_page_report(spark, sf_dir):
     c = crawl_index(spark, sf_dir)
     kw = lookup.top_keywords(c.index)
@@ -409,6 +440,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parent_links": q_parent_links,
     "child_links": q_child_links,
     "changed_pages": q_changed_pages,
+    "merge_index": q_merge_index,
+    "dedupe_pages": q_dedupe_pages,
+    "term_df_lookup": q_term_df_lookup,
+    "page_max_tf": q_page_max_tf,
     "page_report": q_page_report,
     "format_results": q_format_results,
     "recent_distinct": q_recent_distinct,

@@ -340,6 +340,31 @@ l AS (SELECT page_id, base, unnest(hrefs) AS href, CAST(unnest(range(len(hrefs))
   SELECT url, '' AS last_modified FROM pages UNION ALL SELECT url, last_modified FROM docs) s
 LEFT JOIN (SELECT url, '' AS lm FROM pages) st ON st.url = s.url
 WHERE st.url IS NULL OR st.lm IS DISTINCT FROM coalesce(s.last_modified, '')"""
+    q["merge_index"] = _with(
+        DOCS,
+        f"""pgall AS (
+  SELECT url, {_title('html')} AS title, {_body('html')} AS body, '' AS last_modified,
+         CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages)""",
+        """mc AS (
+  SELECT page_id, url, title, body, last_modified, size, page_id AS page_order FROM docs
+  UNION ALL
+  SELECT (SELECT coalesce(max(page_id), -1) FROM docs) + row_number() OVER (ORDER BY url), url, title, body,
+         last_modified, size, 0 FROM pgall WHERE url NOT IN (SELECT url FROM docs))""",
+        index_ctes("m_", "mc"),
+    ) + """SELECT 'body' AS field, term, page_id, body_tf AS tf, array_to_string(body_positions, ',') AS positions
+FROM m_wide WHERE body_tf > 0
+UNION ALL
+SELECT 'title', term, page_id, title_tf, array_to_string(title_positions, ',') FROM m_wide WHERE title_tf > 0"""
+    q["dedupe_pages"] = _with(DOCS) + """SELECT page_id, url, size FROM (
+  SELECT page_id, url, size, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM (
+    SELECT CAST(page_id AS BIGINT) AS page_id, url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages
+    UNION ALL SELECT page_id, url, size FROM docs))
+WHERE rn = 1"""
+    q["term_df_lookup"] = _docs_index() + f""", bt AS (
+  SELECT DISTINCT {porter_sql('w')} AS term FROM (SELECT lower(unnest(regexp_extract_all(coalesce(text, ''), {PAT}))) AS w FROM benchmark))
+SELECT b.term, coalesce(t.body_df, 0) AS body_df, coalesce(t.title_df, 0) AS title_df FROM bt b LEFT JOIN d_tdf t ON t.term = b.term"""
+    q["page_max_tf"] = _docs_index() + """SELECT u.url, coalesce(m.body_maxtf, 0) AS body_maxtf, coalesce(m.title_maxtf, 0) AS title_maxtf
+FROM (SELECT url FROM docs UNION ALL SELECT url FROM pages) u LEFT JOIN docs c ON c.url = u.url LEFT JOIN d_mx m ON m.page_id = c.page_id"""
     q["page_report"] = _with(crawl_ctes(), index_ctes("p_", "pg")) + """SELECT CAST(t.visit_order AS BIGINT) AS visit_order,
   'Page title: ' || coalesce(c.title, 'None') || chr(10) ||
   'URL: ' || c.url || chr(10) ||
