@@ -48,10 +48,18 @@ def write_page_report(blocks: DataFrame, path: str) -> None:
     blocks.orderBy("visit_order").select(text.alias("value")).write.mode("overwrite").text(path)
 
 
-def format_results(results: DataFrame) -> DataFrame:
+def format_results(results: DataFrame, queries: DataFrame | None = None) -> DataFrame:
     """``(query_id, rank, text)``: '<rank>. [<title>]' / '   URL: <url>' /
-    '   Score: <score %.4f>'; a missing or blank title prints 'No Title'."""
+    '   Score: <score %.4f>'; a missing or blank title prints 'No Title'.
+    With ``queries``, a query without hits gets one row (rank 0) reading
+    'No results found.'."""
     title = F.trim(F.coalesce(F.col("title"), F.lit("")))
     title = F.when(title == "", F.lit("No Title")).otherwise(title)
     text = F.format_string("%d. [%s]\n   URL: %s\n   Score: %.4f\n", F.col("rank"), title, F.col("url"), F.col("score"))
-    return results.select("query_id", "rank", text.alias("text"))
+    out = results.select("query_id", F.col("rank").cast("long").alias("rank"), text.alias("text"))
+    if queries is None:
+        return out
+    empty = queries.select("query_id").join(results.select("query_id"), "query_id", "left_anti").select(
+        "query_id", F.lit(0).cast("long").alias("rank"), F.lit("No results found.").alias("text")
+    )
+    return out.unionByName(empty)

@@ -390,9 +390,10 @@ def q_page_report(spark, sf_dir):
 
 def q_format_results(spark, sf_dir):
     index = documents_index(spark, sf_dir).index
-    hits = srch.search(benchmark_queries(spark, sf_dir), index)
+    queries = benchmark_queries(spark, sf_dir)
+    hits = srch.search(queries, index)
     meta = hits.join(index.pages.select("page_id", "url", "title"), "page_id")
-    return format_results(meta)
+    return format_results(meta, queries)
 
 
 def q_recent_distinct(spark, sf_dir):

@@ -380,7 +380,9 @@ LEFT JOIN clinks cl ON cl.page_id = t.page_id"""
     q["format_results"] = ds + """SELECT t.query_id, t.rank,
   CAST(t.rank AS VARCHAR) || '. [' || CASE WHEN trim(coalesce(c.title, '')) = '' THEN 'No Title' ELSE trim(c.title) END || ']' || chr(10) ||
   '   URL: ' || c.url || chr(10) || '   Score: ' || printf('%.4f', t.score) || chr(10) AS text
-FROM d_top t JOIN docs c ON c.page_id = t.page_id"""
+FROM d_top t JOIN docs c ON c.page_id = t.page_id
+UNION ALL
+SELECT query_id, CAST(0 AS BIGINT), 'No results found.' FROM bq WHERE query_id NOT IN (SELECT query_id FROM d_top)"""
     q["recent_distinct"] = """SELECT user_id, rank, props, strftime(last_ts, '%Y-%m-%d %H:%M:%S.%f') AS last_ts FROM (
   SELECT user_id, props, last_ts, row_number() OVER (PARTITION BY user_id ORDER BY last_ts DESC, props) AS rank
   FROM (SELECT user_id, props, max(ts) AS last_ts FROM events GROUP BY user_id, props)
