@@ -228,6 +228,11 @@ class Index:
     term_df: DataFrame
     weights: DataFrame
     term_buckets: int | None = None  # set when wide/weights are stored by term bucket
+    stored_norms: DataFrame | None = None  # (page_id, norm, max_tf) when materialised
+
+    def norms(self) -> DataFrame:
+        """``(page_id, norm, max_tf)`` per page with terms."""
+        return self.stored_norms if self.stored_norms is not None else doc_norms(self.weights)
 
     def term_keys(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         """Join keys against ``wide``/``weights``: (term_bucket, term) for a
