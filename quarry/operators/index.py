@@ -229,6 +229,16 @@ class Index:
     weights: DataFrame
     term_buckets: int | None = None  # set when wide/weights are stored by term bucket
     stored_norms: DataFrame | None = None  # (page_id, norm, max_tf) when materialised
+    stored_vocab: DataFrame | None = None  # (word_id, term, page_order, field_order, pos) when materialised
+
+    def word_order(self) -> DataFrame:
+        """``(term, seen)``: a key that sorts terms in first-seen order -- the
+        stored dense word id, or (page_order, field_order, pos) computed from
+        the postings."""
+        if self.stored_vocab is not None:
+            return self.stored_vocab.select("term", F.col("word_id").alias("seen"))
+        fs = first_seen(self.wide, self.pages)
+        return fs.select("term", F.struct("page_order", "field_order", "pos").alias("seen"))
 
     def norms(self) -> DataFrame:
         """``(page_id, norm, max_tf)`` per page with terms."""
