@@ -43,7 +43,7 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, index_root: str, epoch:
     stops = load_stopwords(spark)
     snapshot = pages_as_corpus(batch)
     new = refresh_index(old, snapshot, lambda c: analyze(c, stops))
-    write_index(new, os.path.join(index_root, f"version={epoch + 1}"), buckets=old.term_buckets or 64)
+    write_index(new, os.path.join(index_root, f"version={epoch + 1}"), buckets=old.term_buckets)
 
 
 def start_refresh_stream(
