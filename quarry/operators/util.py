@@ -27,8 +27,10 @@ def rebalance_small_input(df: DataFrame, key: str) -> DataFrame:
 
     A large input arrives in many file splits and is left alone (no shuffle
     of raw text). A small one (e.g. one Parquet row group) would run the
-    whole analysis in one task; it is hash-partitioned by ``key`` instead,
-    which also satisfies a later ``groupBy(key, ...)`` without an exchange.
+    whole analysis (tokenising, stemming) in one task; it is hash-partitioned
+    by ``key`` instead (deterministic, so a retried task sees the same rows).
+    The later postings aggregation still shuffles: the Python stemming step
+    does not declare that it keeps the partitioning.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
