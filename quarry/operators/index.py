@@ -22,7 +22,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import positions_csv
 from quarry.operators.util import dense_index
 
 # Fixed value: a title occurrence counts as this many body occurrences.
@@ -270,9 +269,6 @@ def build_index(tokens: DataFrame, corpus: DataFrame) -> Index:
     return Index(pages=pages, wide=wide, term_df=tdf, weights=weights)
 
 
-def positions_as_csv(df: DataFrame, col: str = "positions") -> DataFrame:
-    return df.withColumn(col, positions_csv(F.col(col)))
-
 
 def assign_page_ids(snapshot: DataFrame, stored_pages: DataFrame) -> DataFrame:
     """Give pages of a snapshot their ids: a known URL keeps its stored id
