@@ -208,9 +208,16 @@ def doc_norms(weights: DataFrame) -> DataFrame:
 
 
 def dedupe_pages(pages: DataFrame, order_col: str = "page_id") -> DataFrame:
-    """One row per URL; the first writer (lowest ``order_col``) wins."""
-    w = Window.partitionBy("url").orderBy(F.col(order_col))
-    return pages.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """One row per URL; the first writer (lowest ``order_col``) wins.
+
+    An aggregate, not a window: ``min(struct(order, row))`` combines
+    map-side, so a URL copied across a third of the rows is reduced to one
+    row per task before the shuffle."""
+    others = [c for c in pages.columns if c not in ("url", order_col)]
+    first = F.min(F.struct(F.col(order_col).alias("_o"), *[F.col(c) for c in others])).alias("_m")
+    return pages.groupBy("url").agg(first).select(
+        *[F.col("url") if c == "url" else F.col("_m._o").alias(c) if c == order_col else F.col(f"_m.{c}") for c in pages.columns]
+    )
 
 
 def term_bucket(term: Column, buckets: int) -> Column:

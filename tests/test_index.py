@@ -93,3 +93,12 @@ def test_lookups_unknown(spark):
     assert tf == {("u1", "cat"): (1, 1), ("u1", "zzz"): (0, 0), ("nope", "cat"): (0, 0)}
     pos = {(r.url, r.term): r.body_positions for r in lookup.term_positions(req, idx).collect()}
     assert pos[("u1", "cat")] == [0] and pos[("nope", "cat")] == []
+
+
+def test_dedupe_first_writer_wins(spark):
+    from quarry.operators.index import dedupe_pages
+
+    rows = [(5, "a", 1), (2, "a", 9), (7, "b", 3), (3, "a", 4)] + [(100 + i, "a", 0) for i in range(50)]
+    df = spark.createDataFrame(rows, "page_id long, url string, size long").repartition(4)
+    got = sorted(tuple(r) for r in dedupe_pages(df).collect())
+    assert got == [(2, "a", 9), (7, "b", 3)]
