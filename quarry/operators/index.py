@@ -17,7 +17,7 @@ Plan shape (one job per table, all declarative):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -236,6 +236,7 @@ class Index:
     term_buckets: int | None = None  # set when wide/weights are stored by term bucket
     stored_norms: DataFrame | None = None  # (page_id, norm, max_tf) when materialised
     stored_vocab: DataFrame | None = None  # (word_id, term, page_order, field_order, pos) when materialised
+    _page_range: tuple | None = field(default=None, repr=False)
 
     def word_order(self) -> DataFrame:
         """``(term, seen)``: a key that sorts terms in first-seen order -- the
@@ -246,6 +247,13 @@ class Index:
         fs = first_seen(self.wide, self.pages)
         return fs.select("term", F.struct("page_order", "field_order", "pos").alias("seen"))
 
+    def page_id_range(self) -> tuple[int | None, int | None]:
+        """(min, max) page id, computed once per index object."""
+        if self._page_range is None:
+            r = self.pages.agg(F.min("page_id"), F.max("page_id")).first()
+            self._page_range = (r[0], r[1])
+        return self._page_range
+
     def norms(self) -> DataFrame:
         """``(page_id, norm, max_tf)`` per page with terms."""
         return self.stored_norms if self.stored_norms is not None else doc_norms(self.weights)
