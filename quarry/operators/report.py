@@ -55,7 +55,10 @@ def format_results(results: DataFrame, queries: DataFrame | None = None) -> Data
     'No results found.'."""
     title = F.trim(F.coalesce(F.col("title"), F.lit("")))
     title = F.when(title == "", F.lit("No Title")).otherwise(title)
-    text = F.format_string("%d. [%s]\n   URL: %s\n   Score: %.4f\n", F.col("rank"), title, F.col("url"), F.col("score"))
+    # pre-rounded half-up with double arithmetic, so the printed 4 decimals do
+    # not depend on the formatter's tie rule
+    score4 = F.floor(F.col("score") * F.lit(1e4) + F.lit(0.5)) / F.lit(1e4)
+    text = F.format_string("%d. [%s]\n   URL: %s\n   Score: %.4f\n", F.col("rank"), title, F.col("url"), score4)
     out = results.select("query_id", F.col("rank").cast("long").alias("rank"), text.alias("text"))
     if queries is None:
         return out

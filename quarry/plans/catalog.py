@@ -105,7 +105,11 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _round(c: str) -> F.Column:
-    return F.round(F.col(c), SCORE_DECIMALS).alias(c)
+    """Half-up to SCORE_DECIMALS with plain double arithmetic, so any engine
+    doing the same operations prints the same value (decimal rounding of a
+    double differs between engines on near-ties)."""
+    scale = float(10**SCORE_DECIMALS)
+    return (F.floor(F.col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).alias(c)
 
 
 def _title_requests(corpus: DataFrame) -> DataFrame:

@@ -235,7 +235,7 @@ def search_ctes(p: str, queries: str, s: str = "") -> str:
   FROM {ps}cand c LEFT JOIN {ps}dot d ON d.query_id = c.query_id AND d.page_id = c.page_id
   LEFT JOIN {p}dn n ON n.page_id = c.page_id LEFT JOIN {ps}qn qn ON qn.query_id = c.query_id),
 {ps}top AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, page_id) AS rank
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY floor(score * 1e9 + 0.5) DESC, page_id) AS rank
   FROM {ps}sc QUALIFY rank <= {TOP_K})"""
 
 
@@ -251,8 +251,12 @@ def _docs_search() -> str:
     return _with(DOCS, BENCH_QUERIES, index_ctes("d_", "docs"), search_ctes("d_", "bq"))
 
 
+def _r6(x: str) -> str:
+    return f"(floor(({x}) * 1e6 + 0.5) / 1e6)"
+
+
 def _round(c: str, alias: str | None = None) -> str:
-    return f"round({c}, 6) AS {alias or c.split('.')[-1]}"
+    return f"{_r6(c)} AS {alias or c.split('.')[-1]}"
 
 
 def _sql() -> dict[str, str]:
@@ -302,7 +306,7 @@ FROM d_qparts p"""
     q["candidates"] = ds + "SELECT query_id, page_id FROM d_cand"
     q["query_weights"] = ds + f"SELECT query_id, key, df, {_round('weight')} FROM d_qv"
     q["document_weights"] = di + f"""SELECT w.page_id, w.term, {_round('w.weight')},
-  round(CASE WHEN n.norm > 0 THEN w.weight / n.norm ELSE 0.0 END, 6) AS nweight
+  {_r6("CASE WHEN n.norm > 0 THEN w.weight / n.norm ELSE 0.0 END")} AS nweight
 FROM d_dw w JOIN d_dn n ON n.page_id = w.page_id"""
     q["search_topk"] = ds + f"""SELECT t.query_id, t.rank, t.page_id, c.url, {_round('t.score')}
 FROM d_top t JOIN docs c ON c.page_id = t.page_id"""
@@ -379,7 +383,7 @@ LEFT JOIN plinks pl ON pl.page_id = t.page_id
 LEFT JOIN clinks cl ON cl.page_id = t.page_id"""
     q["format_results"] = ds + """SELECT t.query_id, t.rank,
   CAST(t.rank AS VARCHAR) || '. [' || CASE WHEN trim(coalesce(c.title, '')) = '' THEN 'No Title' ELSE trim(c.title) END || ']' || chr(10) ||
-  '   URL: ' || c.url || chr(10) || '   Score: ' || printf('%.4f', t.score) || chr(10) AS text
+  '   URL: ' || c.url || chr(10) || '   Score: ' || printf('%.4f', floor(t.score * 1e4 + 0.5) / 1e4) || chr(10) AS text
 FROM d_top t JOIN docs c ON c.page_id = t.page_id
 UNION ALL
 SELECT query_id, CAST(0 AS BIGINT), 'No results found.' FROM bq WHERE query_id NOT IN (SELECT query_id FROM d_top)"""
