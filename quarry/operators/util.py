@@ -9,15 +9,16 @@ from quarry.session import cut_lineage
 
 # Largest row count a side may have to be broadcast explicitly. Beyond it the
 # join stays a shuffle join and AQE re-plans it from runtime statistics.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` only after proving it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
     the side turns out to be large; in that case ``df`` is returned unhinted.
     """
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
