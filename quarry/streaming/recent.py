@@ -25,13 +25,17 @@ from quarry.session import checkpoint_dir
 EVENTS_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
-def latest_state(spark: SparkSession, state_root: str) -> str | None:
-    """Path of the newest ``version=N`` state, or None before the first batch."""
+def latest_state(spark: SparkSession, state_root: str, before: int | None = None) -> str | None:
+    """Path of the newest ``version=N`` state (``N < before`` if given), or
+    None before the first batch."""
     try:
         files = spark.read.parquet(os.path.join(state_root, "version=*")).select(F.input_file_name().alias("f"))
     except Exception:  # noqa: BLE001 - no state written yet
         return None
-    newest = files.select(F.max(F.regexp_extract("f", r"version=(\d+)", 1).cast("long"))).first()[0]
+    version = F.regexp_extract("f", r"version=(\d+)", 1).cast("long")
+    if before is not None:
+        files = files.where(version < before)
+    newest = files.select(F.max(version)).first()[0]
     return None if newest is None else os.path.join(state_root, f"version={newest}")
 
 
@@ -40,7 +44,9 @@ def fold_batch(
 ) -> None:
     """Merge one micro-batch into the newest state and write the next version."""
     fresh = batch.groupBy(key, value).agg(F.max(ts).alias("last_ts"))
-    prev = latest_state(spark, state_root)
+    # batch e folds onto the newest state below e and writes e: a retried
+    # batch (at-least-once) starts from the same base and overwrites its output
+    prev = latest_state(spark, state_root, before=epoch)
     if prev is not None:
         fresh = fresh.unionByName(spark.read.parquet(prev).select(key, value, "last_ts"))
     state = recent_distinct(fresh.withColumnRenamed("last_ts", ts), key=key, value=value, ts=ts, k=k)

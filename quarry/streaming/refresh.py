@@ -27,11 +27,15 @@ from quarry.sources.store import read_index, write_index
 SNAPSHOT_SCHEMA = "page_id long, url string, html string, last_modified string"
 
 
-def latest_version(spark: SparkSession, index_root: str) -> str:
+def latest_version(spark: SparkSession, index_root: str, before: int | None = None) -> str:
     """Path of the newest ``version=N`` index under ``index_root`` (listed
-    through Spark, so any shared file system works)."""
+    through Spark, so any shared file system works), optionally with
+    ``N < before``."""
     metas = spark.read.json(os.path.join(index_root, "version=*", "meta")).select(F.input_file_name().alias("f"))
-    newest = metas.select(F.max(F.regexp_extract("f", r"version=(\d+)", 1).cast("long"))).first()[0]
+    version = F.regexp_extract("f", r"version=(\d+)", 1).cast("long")
+    if before is not None:
+        metas = metas.where(version < before)
+    newest = metas.select(F.max(version)).first()[0]
     return os.path.join(index_root, f"version={newest}")
 
 
@@ -39,7 +43,9 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, index_root: str, epoch:
     """Merge one batch of page snapshots into the newest index version."""
     if batch.isEmpty():
         return
-    old = read_index(spark, latest_version(spark, index_root))
+    # batch e reads the newest version below e + 1 and writes e + 1: a retried
+    # batch (at-least-once) starts from the same base and overwrites its output
+    old = read_index(spark, latest_version(spark, index_root, before=epoch + 1))
     stops = load_stopwords(spark)
     snapshot = pages_as_corpus(batch)
     new = refresh_index(old, snapshot, lambda c: analyze(c, stops))

@@ -84,3 +84,19 @@ def test_streaming_recent_distinct_equals_batch(spark):
     assert sorted(tuple(r[c] for c in cols) for r in state.collect()) == sorted(
         tuple(r[c] for c in cols) for r in want.collect()
     )
+
+
+def test_retried_batch_starts_from_the_same_base(spark):
+    from quarry.streaming.recent import fold_batch, latest_state
+
+    from conftest import SF0001
+
+    events = read_table(spark, SF0001, "events")
+    root = os.path.join(tempfile.mkdtemp(prefix="quarry-retry-"), "state")
+    first, second = events.where(F.col("event_id") < 500), events.where(F.col("event_id") >= 500)
+    fold_batch(spark, first, root, 0, "user_id", "props", "ts", 5)
+    fold_batch(spark, second, root, 1, "user_id", "props", "ts", 5)
+    once = sorted(tuple(r) for r in spark.read.parquet(latest_state(spark, root)).collect())
+    fold_batch(spark, second, root, 1, "user_id", "props", "ts", 5)  # the same epoch again
+    again = sorted(tuple(r) for r in spark.read.parquet(latest_state(spark, root)).collect())
+    assert once == again
