@@ -396,6 +396,8 @@ SELECT query_id, CAST(0 AS BIGINT), 'No results found.' FROM bq WHERE query_id N
 
 def _resolve(base: str, href: str) -> str:
     """Reference resolution of ``href`` against ``base`` (see html.resolve_url)."""
+    net = f"regexp_matches({href}, '^//[^/?#]')"
+    href = f"(CASE WHEN regexp_matches({href}, '^//($|[/?#])') THEN substr({href}, 3) ELSE {href} END)"
     scheme = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1)"
     auth = f"regexp_extract({base}, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1)"
     rest = f"regexp_extract({base}, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*(.*)$', 1)"
@@ -425,7 +427,7 @@ def _resolve(base: str, href: str) -> str:
     )
     return f"""(CASE
   WHEN regexp_matches({href}, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN {href}
-  WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href}
+  WHEN {net} THEN {scheme} || ':' || {href}
   WHEN {hpath} = '' THEN {origin} || {bpath} || CASE WHEN {hquery} <> '' THEN {hquery} ELSE {bquery} END || {hfrag}
   WHEN starts_with({hpath}, '/') THEN {origin} || {dots(f"string_split({hpath}, '/')")} || {hquery} || {hfrag}
   ELSE {origin} || {dots(merged_clean)} || {hquery} || {hfrag} END)"""
