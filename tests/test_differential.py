@@ -64,3 +64,56 @@ def test_resolve_url_matches_urljoin(spark):
     got = [r.u for r in df.select(resolve_url(F.col("b"), F.col("h")).alias("u")).collect()]
     bad = [(b, h, g, urljoin(b, h)) for (b, h), g in zip(refs, got) if g != urljoin(b, h)]
     assert not bad, bad[:10]
+
+
+class _TextNodes:
+    """Text nodes, first title and <a href> values via the standard-library parser."""
+
+    def __init__(self, html):
+        from html.parser import HTMLParser
+
+        nodes, hrefs, title, stack = [], [], [], []
+
+        class P(HTMLParser):
+            def handle_starttag(self, tag, attrs):
+                stack.append(tag)
+                if tag == "a":
+                    for k, v in attrs:
+                        if k == "href" and v is not None:
+                            hrefs.append(v.strip())
+                            break
+
+            def handle_endtag(self, tag):
+                if tag in stack:
+                    while stack and stack.pop() != tag:
+                        pass
+
+            def handle_data(self, data):
+                if stack and stack[-1] in ("script", "style", "template"):
+                    return
+                if stack and stack[-1] == "title" and not title:
+                    title.append(data)
+                if data.strip():
+                    nodes.append(data.strip())
+
+        P(convert_charrefs=True).feed(html)
+        self.body = " ".join(nodes)
+        self.title = title[0] if title else ""
+        self.hrefs = [h for h in hrefs if h and not h.startswith("javascript:")]
+
+
+def test_html_extraction_matches_stdlib_parser(spark):
+    from conftest import SF001
+    from quarry.functions.html import extract_body, extract_hrefs, extract_title
+    from quarry.sources.corpus import read_table
+
+    rows = read_table(spark, SF001, "pages").select(
+        "html", extract_title(F.col("html")).alias("t"), extract_body(F.col("html")).alias("b"),
+        extract_hrefs(F.col("html")).alias("h"),
+    ).collect()
+    assert len(rows) == 250
+    for r in rows:
+        ref = _TextNodes(r.html)
+        assert r.t == ref.title
+        assert r.h == ref.hrefs
+        assert re.findall(r"\b[\w']+\b", r.b) == re.findall(r"\b[\w']+\b", ref.body)
