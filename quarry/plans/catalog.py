@@ -283,7 +283,7 @@ def q_enriched_results(spark, sf_dir):
     c = crawl_index(spark, sf_dir)
     hits = srch.search(benchmark_queries(spark, sf_dir), c.index)
     kw = lookup.top_keywords(c.index).select("page_id", lookup.format_keywords(F.col("keywords")).alias("keywords"))
-    par = parent_links(c.tree, c.snapshot).withColumnRenamed("parents", "parents")
+    par = parent_links(c.tree, c.snapshot)
     kids = child_links(c.tree, c.snapshot)
     e = enrich_results(hits, c.index.pages, kw, par, kids)
     return e.select(
