@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 # Fixed value: a token is a run of Unicode letters, digits or underscore, with
 # inner apostrophes kept ("Abdul's") and outer ones dropped ("'em" -> "em").
 # This is the Unicode reading of the word pattern ``\b[\w']+\b``; the same text
-# is valid in Java regex (Spark) and RE2 (the DuckDB oracle).
-TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:'+[\p{L}\p{N}_]+)*"
+# is valid in Java regex (Spark) and RE2 (the DuckDB oracle). It has no
+# repeated group: Java recurses once per group repetition, and a long junk
+# token such as a'a'a'... would overflow the task's stack.
+TOKEN_PATTERN = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_']*[\p{L}\p{N}_])?"
 
 
 def tokenize(text: Column) -> Column:

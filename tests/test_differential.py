@@ -117,3 +117,11 @@ def test_html_extraction_matches_stdlib_parser(spark):
         assert r.t == ref.title
         assert r.h == ref.hrefs
         assert re.findall(r"\b[\w']+\b", r.b) == re.findall(r"\b[\w']+\b", ref.body)
+
+
+def test_long_junk_token_does_not_overflow(spark):
+    from quarry.functions.text import tokenize
+
+    text = "x " + "a'" * 100000 + "b end"
+    got = spark.createDataFrame([(text,)], "t string").select(F.size(tokenize(F.col("t"))).alias("n")).first().n
+    assert got == len(re.findall(r"\b[\w']+\b", text)) == 3
