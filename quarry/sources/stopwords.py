@@ -15,17 +15,30 @@ from pyspark.sql import functions as F
 from quarry.functions.stem import stem_string_column
 
 DEFAULT_STOPWORDS = os.path.join(os.path.dirname(os.path.dirname(__file__)), "resources", "stopwords.txt")
+# The packaged list is a fixed resource of a few hundred lines.
+MAX_PACKAGED_LINES = 10_000
 
 
 def read_stopword_lines(path: str = DEFAULT_STOPWORDS) -> list[str]:
-    """The raw words of a stop-word file (used to build oracle SQL)."""
+    """The raw words of a local stop-word file (the packaged list; oracle SQL)."""
     with open(path, encoding="utf-8") as fh:
         return [ln.strip() for ln in fh if not ln.startswith("#")]
 
 
-def load_stopwords(spark: SparkSession, path: str = DEFAULT_STOPWORDS, stem: bool = True) -> DataFrame:
-    """DataFrame ``(term string)`` of distinct stop stems (or raw words)."""
-    lines = spark.read.text(path).where(~F.col("value").startswith("#"))
+def load_stopwords(spark: SparkSession, path: str | None = None, stem: bool = True) -> DataFrame:
+    """DataFrame ``(term string)`` of distinct stop stems (or raw words).
+
+    ``path`` (on shared storage) is read by Spark. Without it the packaged
+    list is used: it lives beside the code, which on a cluster may sit in a
+    zip only the driver can open, so the driver reads its few hundred lines
+    (size-checked) and Spark stems them."""
+    if path is None:
+        raw = read_stopword_lines()
+        if len(raw) > MAX_PACKAGED_LINES:
+            raise ValueError("packaged stop-word list is unexpectedly large; pass a shared path instead")
+        lines = spark.createDataFrame([(w,) for w in raw], "value string")
+    else:
+        lines = spark.read.text(path).where(~F.col("value").startswith("#"))
     words = lines.select(F.regexp_replace(F.col("value"), r"^\s+|\s+$", "").alias("term"))
     if stem:
         words = stem_string_column(words, "term")

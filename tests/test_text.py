@@ -106,3 +106,11 @@ def test_resolve_url(spark, href, expected):
         resolve_url(F.col("b"), F.col("h")).alias("u")
     ).first().u
     assert got == expected == urljoin(base, href)
+
+
+def test_stopwords_from_a_shared_path(spark, tmp_path):
+    path = tmp_path / "stops.txt"
+    path.write_text("# comment line\n" + "\n".join(read_stopword_lines()) + "\n", encoding="utf-8")
+    from_path = {r.term for r in load_stopwords(spark, str(path)).collect()}
+    packaged = {r.term for r in load_stopwords(spark).collect()}
+    assert from_path == packaged
