@@ -148,9 +148,28 @@ def first_seen(wide: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     title, then position."""
     w = wide
     order = F.col("page_id")
+    order_name = "page_id"
     if pages is not None and "page_order" in pages.columns:
         w = w.join(pages.select("page_id", "page_order"), "page_id")
         order = F.col("page_order")
+        order_name = "page_order"
+    field = F.when(F.col("body_tf") > 0, F.lit(0)).otherwise(F.lit(1))
+    first_pos = F.when(
+        F.col("body_tf") > 0, F.try_element_at("body_positions", F.lit(1))
+    ).otherwise(F.try_element_at("title_positions", F.lit(1)))
+    if pages is not None:
+        lo, hi = pages.agg(F.min(order_name), F.max(order_name)).first()
+        if lo is not None and lo >= 0 and hi < (1 << 31):
+            # (order, field, pos) packed into one long: min() then runs as a
+            # hash aggregate instead of the sort-based min over a struct
+            packed = F.shiftleft(order.cast("long"), 32) + F.shiftleft(field.cast("long"), 31) + first_pos.cast("long")
+            m = w.select("term", packed.alias("k")).groupBy("term").agg(F.min("k").alias("k"))
+            return m.select(
+                "term",
+                F.shiftright("k", 32).alias("page_order"),
+                F.shiftright("k", 31).bitwiseAND(F.lit(1)).cast("int").alias("field_order"),
+                F.col("k").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("pos"),
+            )
     key = F.when(
         F.col("body_tf") > 0,
         F.struct(order.alias("page_order"), F.lit(0).alias("field_order"), F.try_element_at("body_positions", F.lit(1)).alias("pos")),

@@ -102,3 +102,14 @@ def test_dedupe_first_writer_wins(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, size long").repartition(4)
     got = sorted(tuple(r) for r in dedupe_pages(df).collect())
     assert got == [(2, "a", 9), (7, "b", 3)]
+
+
+def test_first_seen_packed_equals_struct_path(spark):
+    from quarry.operators.index import first_seen
+
+    corpus = documents_as_corpus(read_table(spark, SF0001, "documents"))
+    idx = build_index(analyze(corpus, load_stopwords(spark)), corpus)
+    cols = ("term", "page_order", "field_order", "pos")
+    packed = sorted(tuple(r[c] for c in cols) for r in first_seen(idx.wide, idx.pages).collect())
+    plain = sorted(tuple(r[c] for c in cols) for r in first_seen(idx.wide).collect())  # no page table: struct path
+    assert packed == plain
