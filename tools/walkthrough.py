@@ -28,11 +28,7 @@ from quarry.sources.stopwords import load_stopwords  # noqa: E402
 from quarry.sources.store import read_index, write_index  # noqa: E402
 
 
-def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    out = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="quarry-walk-")
-    spark = local_session(8)
-
+def run(spark, sf_dir: str, out: str) -> None:
     # 1. crawl (breadth-first, 300-page budget) and index the crawled pages
     raw = read_table(spark, sf_dir, "pages")
     snapshot = read_pages(raw)
@@ -70,6 +66,13 @@ def main() -> None:
     queries = spark.createDataFrame([(1, "eriner anea"), (2, '"de de"'), (3, "the of and")], "query_id long, query string")
     search.search(queries, index).write.mode("overwrite").parquet(os.path.join(out, "results"))
     print("written to", out)
+
+
+def main() -> None:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
+    out = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="quarry-walk-")
+    spark = local_session(8)
+    run(spark, sf_dir, out)
     spark.stop()
 
 
