@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators.analyze import analyze
 from quarry.operators.index import refresh_index
+from quarry.operators.links import changed_pages
 from quarry.session import checkpoint_dir
 from quarry.sources.corpus import pages_as_corpus
 from quarry.sources.stopwords import load_stopwords
@@ -48,6 +49,8 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, index_root: str, epoch:
     old = read_index(spark, latest_version(spark, index_root, before=epoch + 1))
     stops = load_stopwords(spark)
     snapshot = pages_as_corpus(batch)
+    if changed_pages(snapshot, old.pages).isEmpty():
+        return  # a re-crawl of unchanged pages writes nothing
     new = refresh_index(old, snapshot, lambda c: analyze(c, stops))
     write_index(new, os.path.join(index_root, f"version={epoch + 1}"), buckets=old.term_buckets)
 

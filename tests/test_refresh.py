@@ -100,3 +100,16 @@ def test_retried_batch_starts_from_the_same_base(spark):
     fold_batch(spark, second, root, 1, "user_id", "props", "ts", 5)  # the same epoch again
     again = sorted(tuple(r) for r in spark.read.parquet(latest_state(spark, root)).collect())
     assert once == again
+
+
+def test_unchanged_snapshot_writes_no_version(spark):
+    from quarry.streaming.refresh import refresh_batch
+
+    stops = load_stopwords(spark)
+    raw = read_table(spark, SF0001, "pages")
+    root = os.path.join(tempfile.mkdtemp(prefix="quarry-nochange-"), "index")
+    corpus = pages_as_corpus(raw)
+    write_index(build_index(analyze(corpus, stops), corpus), os.path.join(root, "version=0"), buckets=4)
+    same = raw.select("page_id", "url", "html", F.lit("").alias("last_modified"))
+    refresh_batch(spark, same, root, 0)
+    assert latest_version(spark, root).endswith("version=0")
