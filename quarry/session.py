@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Python workers import the functions they run by name, so they need the
+    package however the driver came to find it. The archive is only read by
+    the driver, which serves it to the executors (``addPyFile``).
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_quarry_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="quarry-package-"), "quarry.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*")):
+            if path.suffix in (".py", ".txt"):
+                z.write(path, f"{root.name}/{path.relative_to(root)}")
+    sc.addPyFile(archive)
+    sc._quarry_shipped = True
