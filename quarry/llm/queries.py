@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat
+from quarry.llm import chat, language, packing, token_files
 from quarry.llm.shared import table
+from quarry.llm.tokens import tokenizer_path
 
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,35 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_chat_formatting": op9_chat_formatting}
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    dictionaries = language.fit(docs.where(~language.held_out(F.col("doc_id"))).select("text", "lang"))
+    return language.classify(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), dictionaries
+    ).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_files.write_token_files(docs, tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_token_files(spark, manifest).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").cast("long").alias("ids_crc32"),
+    )
+
+
+QUERIES = {
+    "op4_language_id": op4_language_id,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_token_files": op8_token_files,
+    "op9_chat_formatting": op9_chat_formatting,
+}
 
 ORACLE_SQL = {
     "op9_chat_formatting": r"""
