@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, language, packing, token_files
-from quarry.llm.shared import table
+from quarry.llm import chat, language, packing, simhash, token_files, url_filter
+from quarry.llm.shared import table, written
 from quarry.llm.tokens import tokenizer_path
 
 
@@ -54,14 +54,119 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    near = written(simhash.neighbours(docs), "neighbours")
+    both = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))))
+    texts = simhash.edited(docs, near).select(
+        "doc_id", "h", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), both.alias("t")
+    )
+    keys = ["doc_id", "h", "n_chars", "edited_sha256"]
+    prints = simhash.fingerprints(texts.select(*keys, "t.kind", "t.text"), [*keys, "kind"])
+    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("fingerprint")))
+    rows = written(
+        prints.groupBy(*keys).agg(F.max("copies").alias("copies"), of(0).alias("own"), of(1).alias("other")), "fingerprints"
+    )
+    # the fingerprint of the next document
+    standing = rows.groupBy("doc_id").agg(F.min_by("own", "h").alias("next_own")).withColumnRenamed("doc_id", "next_id")
+    beside = near.join(standing, near["next_id"].eqNullSafe(standing["next_id"])).select(F.col("doc_id").alias("of_id"), "next_own")
+    # all documents near those whose id is divisible by 100
+    pairs = simhash.within_radius(rows.where("doc_id % 100 = 0").select(F.col("own").alias("fingerprint")), rows.select(F.col("own").alias("fingerprint")))
+    held = rows.groupBy(F.col("own").alias("fingerprint")).agg(F.sum("copies").alias("held"))
+    found = pairs.join(held, "fingerprint").groupBy("query").agg((F.sum("held") - 1).alias("n_within"))
+    asked = F.when(F.col("doc_id") % 100 == 0, F.col("own"))
+    out = rows.join(beside, rows["doc_id"].eqNullSafe(F.col("of_id"))).withColumn("asked", asked)
+    text = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
+    return out.join(found, F.col("asked") == F.col("query"), "left").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        text("own").alias("fingerprint"),
+        text("other").alias("edited_fingerprint"),
+        simhash.likeness(F.col("own"), F.col("other")).alias("near_edited"),
+        simhash.likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+        "n_within",
+        F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
+    ).drop("copy")
+
+
+#: (host, path, action)
+RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    return url_filter.judge(pages, RULES)
+
+
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op4_language_id": op4_language_id,
+    "op5_url_filters": op5_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_files": op8_token_files,
     "op9_chat_formatting": op9_chat_formatting,
 }
 
+
+
+def _op5_sql() -> str:
+    """Rules as a table; the rounds written out one after another."""
+    d, rounds = url_filter.DAMPING, []
+    for i in range(1, url_filter.ROUNDS + 1):
+        rounds.append(f"""r{i} AS (
+  SELECT kind, host, sum(rank) AS rank FROM (
+    SELECT f.kind, f.dst AS host, {d} * r.rank * f.weight / o.w AS rank
+    FROM r{i - 1} r JOIN flows f ON f.kind = r.kind AND f.src = r.host JOIN outs o ON o.kind = f.kind AND o.src = f.src
+    UNION ALL SELECT kind, host, (1 - {d}) * rank FROM r0) GROUP BY ALL)""")
+    rules = ", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in RULES)
+    link = url_filter.LINK.replace("'", "''")
+    return f"""
+WITH rules(h, p, action) AS (VALUES {rules}),
+cut AS (SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+named AS (
+  SELECT page_id, html, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+fits AS (
+  SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(action, length(h || p)) AS action
+  FROM (SELECT DISTINCT host, path FROM named) JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY host, path),
+ruled AS (SELECT n.*, f.rule, f.action FROM named n LEFT JOIN fits f ON f.host = n.host AND f.path = n.path),
+links AS (
+  SELECT src, dst, count(*) AS weight FROM (
+    SELECT page_id, host AS src, unnest(list_distinct(list_transform(regexp_extract_all(html, '{link}', 1),
+      lambda x: translate(x, '{url_filter.UPPER}', '{url_filter.LOWER}')))) AS dst FROM named)
+  WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
+sites AS (SELECT host, regexp_extract(host, '^[^.]+\\.([^.]+\\..+)$', 1) AS site FROM (SELECT DISTINCT host FROM named)),
+edges AS (
+  SELECT src, dst, CAST(sum(weight) AS DOUBLE) AS weight FROM (
+    SELECT * FROM links UNION ALL SELECT host, site, {url_filter.SITE_WEIGHT} FROM sites WHERE site <> ''
+    UNION ALL SELECT site, host, {url_filter.SITE_WEIGHT} FROM sites WHERE site <> '') GROUP BY ALL),
+flows AS (SELECT 'trust' AS kind, src, dst, weight FROM edges UNION ALL SELECT 'distrust', dst, src, weight FROM edges),
+outs AS (SELECT kind, src, sum(weight) AS w FROM flows GROUP BY ALL),
+marks AS (
+  SELECT CASE action WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS n FROM ruled WHERE action IS NOT NULL GROUP BY ALL),
+r0 AS (SELECT kind, host, n / sum(n) OVER (PARTITION BY kind) AS rank FROM marks),
+{", ".join(rounds)},
+verdicts AS (
+  SELECT host, coalesce(sum(rank) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(rank) FILTER (kind = 'distrust'), 0) AS b
+  FROM r{url_filter.ROUNDS} GROUP BY host)
+SELECT page_id, r.host, path, rule,
+  coalesce(action, CASE WHEN round(b, 9) > round({url_filter.THRESHOLD} * (t + b), 9) THEN 'block' ELSE 'allow' END, 'allow') AS verdict
+FROM ruled r LEFT JOIN verdicts v ON v.host = r.host
+"""
+
+
 ORACLE_SQL = {
+    "op5_url_filters": _op5_sql(),
     "op9_chat_formatting": r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
