@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, language, packing, simhash, token_files, url_filter
+from quarry.llm import chat, language, packing, simhash, substrings, token_files, url_filter
 from quarry.llm.shared import table, written
 from quarry.llm.tokens import tokenizer_path
 
@@ -39,6 +39,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return substrings.substring_dedup(docs).select(
+        "row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
 
@@ -111,6 +118,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op4_language_id": op4_language_id,
     "op5_url_filters": op5_url_filters,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_files": op8_token_files,
     "op9_chat_formatting": op9_chat_formatting,
@@ -166,6 +174,27 @@ FROM ruled r LEFT JOIN verdicts v ON v.host = r.host
 
 
 ORACLE_SQL = {
+    "op6_substring_dedup": r"""
+WITH w AS (
+  SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)
+), v AS (
+  SELECT doc_id, i, string_agg(word, ' ') OVER later AS words, count(*) OVER later AS n
+  FROM w WINDOW later AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), late AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY words ORDER BY doc_id, i) > 1 AS late FROM v WHERE n = 20
+), marked AS (
+  SELECT w.doc_id, w.i, w.word,
+    coalesce(bool_or(l.late) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM w LEFT JOIN late l ON l.doc_id = w.doc_id AND l.i = w.i
+), kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS kept
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+""",
     "op5_url_filters": _op5_sql(),
     "op9_chat_formatting": r"""
 WITH t AS (
