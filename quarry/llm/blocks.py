@@ -100,7 +100,7 @@ class Words:
                 done += size
             if done == k:
                 return mix(out)
-            h, size, power = h * power + shifted(h, size), 2 * size, power * power
+            h, size, power = h * power + shifted(h, size), 2 * size, np.uint64(int(power) ** 2 % 2**64)
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, language, packing, simhash, substrings, token_files, url_filter
+from quarry.llm import chat, jaccard, language, packing, simhash, substrings, token_files, url_filter
 from quarry.llm.shared import table, written
 from quarry.llm.tokens import tokenizer_path
 
@@ -114,6 +114,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, RULES)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op4_language_id": op4_language_id,
@@ -122,6 +126,7 @@ QUERIES = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_files": op8_token_files,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 
@@ -174,6 +179,28 @@ FROM ruled r LEFT JOIN verdicts v ON v.host = r.host
 
 
 ORACLE_SQL = {
+    "op10_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), few AS (
+  SELECT sh FROM s GROUP BY sh HAVING count(*) > 1
+), i AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS met FROM s a JOIN few USING (sh) JOIN s b USING (sh)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT x, y FROM i JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * met >= 75 * (p.n + q.n - met)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM documents d
+LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = d.doc_id
+""",
     "op6_substring_dedup": r"""
 WITH w AS (
   SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word
