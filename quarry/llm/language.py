@@ -78,11 +78,25 @@ def dictionary(counts: Counter) -> bytes:
     return " ".join(reversed(kept)).encode()
 
 
-def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:
+def classify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     """Add lang_pred, score and rejected to ``docs``."""
+    return _named(docs, _judged(docs, dictionaries), "lang_pred", "score", "rejected")
+
+
+def accepted(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
+    """The rows of ``docs`` that are not rejected."""
+    return _named(docs, _judged(docs, dictionaries).where(~F.col("rejected")))
+
+
+def _named(docs: DataFrame, judged: DataFrame, *more: str) -> DataFrame:
+    return judged.select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(docs.columns)], *more)
+
+
+def _judged(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
+    """``docs`` with its columns renamed k_0, k_1, ..., and the verdict."""
     names = sorted(dictionaries)
     kept = [F.col(f"`{c}`").alias(f"k_{i}") for i, c in enumerate(docs.columns)]
-    lettered = docs.select(*kept, F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).alias("text"))
+    lettered = docs.select(*kept, F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
     fields = ", ".join(f"k_{i} {t.dataType.simpleString()}" for i, t in enumerate(docs.schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,8 +124,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
                 names=[*batch.schema.names[:-1], "lang_pred", "score", "rejected"],
             )
 
-    out = lettered.mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")
-    return out.select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(docs.columns)], "lang_pred", "score", "rejected")
+    return lettered.mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, jaccard, language, packing, simhash, substrings, token_files, url_filter
+from quarry.llm import chat, cotraining, decontaminate, jaccard, language, packing, simhash, substrings, token_files, url_filter
 from quarry.llm.shared import table, written
 from quarry.llm.tokens import tokenizer_path
 
@@ -31,6 +31,14 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     dictionaries = language.fit(docs.where(~language.held_out(F.col("doc_id"))).select("text", "lang"))
@@ -120,6 +128,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_language_id": op4_language_id,
     "op5_url_filters": op5_url_filters,
     "op6_substring_dedup": op6_substring_dedup,
