@@ -304,9 +304,21 @@ def build_index(tokens: DataFrame, corpus: DataFrame) -> Index:
 
 
 
+def latest_per_url(snapshot: DataFrame) -> DataFrame:
+    """One row per URL of a snapshot: of several, the one last modified (as
+    text; null first), ties by the other columns in their order.
+
+    A partial aggregate, so repeated rows of a URL are reduced before the shuffle."""
+    others = [c for c in snapshot.columns if c not in ("url", "last_modified", "page_id")]
+    row = F.struct(F.coalesce("last_modified", F.lit("")).alias("_o"), *[F.col(c) for c in others], "last_modified")
+    last = snapshot.groupBy("url").agg(F.max(row).alias("_m"))
+    return last.select(*[F.col("url") if c == "url" else F.col(f"_m.{c}").alias(c) for c in snapshot.columns if c != "page_id"])
+
+
 def assign_page_ids(snapshot: DataFrame, stored_pages: DataFrame) -> DataFrame:
-    """Give pages of a snapshot their ids: a known URL keeps its stored id
-    (first writer wins), a new URL gets the next free id, in URL order."""
+    """Give pages of a snapshot (one row per URL) their ids: a known URL keeps
+    its stored id (first writer wins), a new URL gets the next free id, in URL
+    order."""
     snap = snapshot.drop("page_id") if "page_id" in snapshot.columns else snapshot
     known = snap.join(stored_pages.select("url", "page_id"), "url")
     fresh = snap.join(stored_pages.select("url"), "url", "left_anti")
@@ -330,10 +342,11 @@ def merge_index(old: Index, new_pages: DataFrame, new_wide: DataFrame) -> tuple[
 def refresh_index(old: Index, snapshot: DataFrame, analyze_fn) -> Index:
     """Re-index the pages of ``snapshot`` that are new or changed (by
     last_modified) and rebuild df and weights; unchanged pages are not
-    re-analysed. ``analyze_fn(corpus) -> tokens``."""
+    re-analysed. Of several rows of a URL the one last modified counts.
+    ``analyze_fn(corpus) -> tokens``."""
     from quarry.operators.links import changed_pages
 
-    changed = assign_page_ids(changed_pages(snapshot, old.pages), old.pages)
+    changed = assign_page_ids(changed_pages(latest_per_url(snapshot), old.pages), old.pages)
     new_wide = wide_postings(analyze_fn(changed))
     cols = [c for c in old.pages.columns if c in changed.columns]
     pages, wide = merge_index(Index(old.pages.select(*cols), old.wide, old.term_df, old.weights), changed.select(*cols), new_wide)

@@ -46,6 +46,7 @@ from quarry.sources.corpus import documents_as_corpus, pages_as_corpus, read_pag
 from quarry.sources.stopwords import load_stopwords
 
 SCORE_DECIMALS = 6
+CRAWL_BUDGET = 75
 
 
 @dataclass
@@ -72,11 +73,11 @@ class CrawlIndex:
 
 
 def crawl_index(spark: SparkSession, sf_dir: str) -> CrawlIndex:
-    """Crawl the page table over the derived link graph from page 0, then
+    """Crawl the whole page table over the derived link graph from page 0, then
     index exactly the crawled pages in visit order."""
     raw = read_table(spark, sf_dir, "pages")
     snapshot = read_pages(raw)
-    tree = crawl_tree(derived_edges(snapshot), snapshot)
+    tree = crawl_tree(derived_edges(snapshot), snapshot, max_pages=None)
     corpus = rebalance_small_input(pages_as_corpus(raw), "page_id").join(
         tree.select("page_id", F.col("visit_order").alias("page_order")), "page_id"
     )
@@ -84,22 +85,26 @@ def crawl_index(spark: SparkSession, sf_dir: str) -> CrawlIndex:
     return CrawlIndex(snapshot, tree, corpus, build_index(tokens, corpus))
 
 
+def _phrases(toks: F.Column, n: int) -> F.Column:
+    """Every run of ``n`` tokens, quoted."""
+    starts = F.when(F.size(toks) >= n, F.sequence(F.lit(1), F.size(toks) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.concat(F.lit('"'), F.array_join(F.slice(toks, i, n), " "), F.lit('"')))
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(query_id, query)`` from the benchmark passages, three per passage:
-    the passage as free text (id*10), a phrase of its first two tokens plus
-    its third token (id*10+1), and a phrase of tokens 2-4 alone (id*10+2)."""
+    the passage as free text (id*10), a phrase of each two adjacent tokens
+    plus its last token (id*10+1), and a phrase of each three (id*10+2)."""
     b = read_table(spark, sf_dir, "benchmark")
     toks = tokenize(F.col("text"))
     free = b.select((F.col("item_id") * 10).alias("query_id"), F.coalesce("text", F.lit("")).alias("query"))
     pt = b.select(
         (F.col("item_id") * 10 + 1).alias("query_id"),
-        F.concat(
-            F.lit('"'), F.array_join(F.slice(toks, 1, 2), " "), F.lit('" '), F.coalesce(F.try_element_at(toks, F.lit(3)), F.lit(""))
-        ).alias("query"),
+        F.concat_ws(" ", _phrases(toks, 2), F.slice(toks, -1, 1)).alias("query"),
     )
     po = b.select(
         (F.col("item_id") * 10 + 2).alias("query_id"),
-        F.concat(F.lit('"'), F.array_join(F.slice(toks, 2, 3), " "), F.lit('"')).alias("query"),
+        F.array_join(_phrases(toks, 3), " ").alias("query"),
     )
     return free.unionByName(pt).unionByName(po).select(F.col("query_id").cast("long"), "query")
 
@@ -326,53 +331,74 @@ def q_resolve_url(spark, sf_dir):
     return links.select("page_id", F.col("link_pos").cast("long"), "url")
 
 
-def q_crawl_tree(spark, sf_dir):
+def _crawl(spark, sf_dir, max_pages):
     snap = read_pages(read_table(spark, sf_dir, "pages"))
-    tree = crawl_tree(derived_edges(snap), snap)
+    tree = crawl_tree(derived_edges(snap), snap, max_pages=max_pages)
     return tree.join(snap.select("page_id", "url"), "page_id").select(
         "page_id", "url", F.col("depth").cast("long"), "visit_order", F.coalesce("parent_id", F.lit(-1)).alias("parent_id")
     )
 
 
+def q_crawl_tree(spark, sf_dir):
+    return _crawl(spark, sf_dir, None)
+
+
+def q_crawl_budget(spark, sf_dir):
+    """The crawl's page budget, which ends it inside a level."""
+    return _crawl(spark, sf_dir, CRAWL_BUDGET)
+
+
 def q_parent_links(spark, sf_dir):
     snap = read_pages(read_table(spark, sf_dir, "pages"))
-    tree = crawl_tree(derived_edges(snap), snap)
+    tree = crawl_tree(derived_edges(snap), snap, max_pages=None)
     par = parent_links(tree, snap).join(snap.select("page_id", "url"), "page_id")
     return par.select("page_id", "url", _links_text(par, "parents", ", ").alias("parent_links"))
 
 
 def q_child_links(spark, sf_dir):
     snap = read_pages(read_table(spark, sf_dir, "pages"))
-    tree = crawl_tree(derived_edges(snap), snap)
+    tree = crawl_tree(derived_edges(snap), snap, max_pages=None)
     kids = child_links(tree, snap).join(snap.select("page_id", "url"), "page_id")
     return kids.select("page_id", "url", _links_text(kids, "children", ",\n").alias("child_links"))
 
 
 def q_changed_pages(spark, sf_dir):
-    """New snapshot = the page table plus the documents as pages; stored =
-    the page table: every document URL is new, every page unchanged."""
-    pages = pages_as_corpus(read_table(spark, sf_dir, "pages")).select("url", "last_modified")
+    """Stored = the page table, dated by page id; new snapshot = the same pages,
+    every third of another date, plus the documents as pages: pages whose date
+    differs and all document URLs are changed."""
+    pages = dedupe_pages(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+    day = lambda n: F.concat(F.lit("2024-01-"), F.lpad((F.pmod(n, F.lit(28)) + 1).cast("string"), 2, "0"))
+    stored = pages.select("url", day(F.col("page_id")).alias("last_modified"))
+    moved = F.when(F.pmod("page_id", F.lit(3)) == 0, F.col("page_id") + 1).otherwise(F.col("page_id"))
+    fresh = pages.select("url", day(moved).alias("last_modified"))
     docs = documents_as_corpus(read_table(spark, sf_dir, "documents")).select("url", "last_modified")
-    return changed_pages(pages.unionByName(docs), pages).select("url")
+    return changed_pages(fresh.unionByName(docs), stored).select("url")
 
 
 def q_merge_index(spark, sf_dir):
-    """The documents index refreshed with the page table as a new snapshot:
-    every page URL is new, gets the next free id (URL order) and its
-    postings are merged in; df and weights are rebuilt over the union."""
+    """The documents index refreshed with a snapshot of two crawls: the page
+    table (new URLs, which get the next free ids in URL order) and all documents
+    again, every second of them re-dated and then with its title for a text, in
+    an older and a newer version. Replaced pages lose their old postings."""
     d = documents_index(spark, sf_dir)
-    snapshot = pages_as_corpus(read_table(spark, sf_dir, "pages"))
+    again = d.corpus.withColumn("last_modified", F.when(F.pmod("page_id", F.lit(2)) == 0, "2024-02-02").otherwise(F.col("last_modified")))
+    newer = again.withColumn("body", F.when(F.col("last_modified") != "", F.col("title")).otherwise(F.col("body")))
+    older = again.withColumn("last_modified", F.when(F.col("last_modified") != "", "2024-01-01").otherwise(F.lit("")))
+    snapshot = pages_as_corpus(read_table(spark, sf_dir, "pages")).unionByName(newer).unionByName(older)
     merged = refresh_index(d.index, snapshot, lambda c: analyze(c, d.stops))
     p = postings(merged.wide)
     return p.select("field", "term", "page_id", "tf", positions_csv(F.col("positions")).alias("positions"))
 
 
 def q_dedupe_pages(spark, sf_dir):
-    """Page table plus documents-as-pages, one row per URL (first writer =
+    """Page table plus documents-as-pages, all of them twice (the second time
+    under later ids and with another size), one row per URL (first writer =
     lowest page id wins)."""
     pages = read_pages(read_table(spark, sf_dir, "pages")).select("page_id", "url", "size")
     docs = documents_as_corpus(read_table(spark, sf_dir, "documents")).select("page_id", "url", "size")
-    return dedupe_pages(pages.unionByName(docs)).select("page_id", "url", "size")
+    once = pages.unionByName(docs)
+    later = once.select((F.col("page_id") + 1_000_000_000).alias("page_id"), "url", (F.col("size") + 1).alias("size"))
+    return dedupe_pages(later.unionByName(once)).select("page_id", "url", "size")
 
 
 def q_term_df_lookup(spark, sf_dir):
@@ -442,6 +468,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_links": q_extract_links,
     "resolve_url": q_resolve_url,
     "crawl_tree": q_crawl_tree,
+    "crawl_budget": q_crawl_budget,
     "parent_links": q_parent_links,
     "child_links": q_child_links,
     "changed_pages": q_changed_pages,

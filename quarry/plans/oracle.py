@@ -22,7 +22,7 @@ def _q(s: str) -> str:
 
 PAT = _q(TOKEN_PATTERN)
 TOP_K = 50
-MAX_PAGES = 300
+CRAWL_BUDGET = 75
 
 
 def _unescape(x: str) -> str:
@@ -58,27 +58,27 @@ def _stop_values() -> str:
 DOCS = f"""docs AS (
   SELECT CAST(doc_id AS BIGINT) AS page_id,
          'doc://' || source || '/' || CAST(doc_id AS VARCHAR) AS url,
-         array_to_string(regexp_extract_all(split_part(coalesce(text, ''), chr(10), 1), {PAT})[1:8], ' ') AS title,
+         array_to_string(regexp_extract_all(split_part(coalesce(text, ''), chr(10), 1), {PAT}), ' ') AS title,
          coalesce(text, '') AS body,
          '' AS last_modified,
          CAST(strlen(coalesce(text, '')) AS BIGINT) AS size,
          CAST(doc_id AS BIGINT) AS page_order
   FROM documents)"""
 
-BENCH_QUERIES = f"""bq AS (
+BENCH_QUERIES = f"""bt0 AS (SELECT item_id, regexp_extract_all(coalesce(text, ''), {PAT}) AS t FROM benchmark),
+bq AS (
   SELECT CAST(item_id * 10 AS BIGINT) AS query_id, coalesce(text, '') AS query FROM benchmark
   UNION ALL
   SELECT CAST(item_id * 10 + 1 AS BIGINT),
-         '"' || array_to_string(regexp_extract_all(coalesce(text, ''), {PAT})[1:2], ' ') || '" '
-             || coalesce(regexp_extract_all(coalesce(text, ''), {PAT})[3], '')
-  FROM benchmark
+         array_to_string(list_concat(list_transform(range(1, len(t)), lambda i: '"' || t[i] || ' ' || t[i + 1] || '"'), t[-1:]), ' ')
+  FROM bt0
   UNION ALL
   SELECT CAST(item_id * 10 + 2 AS BIGINT),
-         '"' || array_to_string(regexp_extract_all(coalesce(text, ''), {PAT})[2:4], ' ') || '"'
-  FROM benchmark)"""
+         array_to_string(list_transform(range(1, len(t) - 1), lambda i: '"' || t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] || '"'), ' ')
+  FROM bt0)"""
 
 
-def crawl_ctes() -> str:
+def crawl_ctes(max_pages: int | None = None) -> str:
     """pg_raw (page snapshot), edges, tree(page_id, depth, parent_id, visit_order)."""
     return f"""np AS (SELECT count(*) AS n FROM pages),
 edges AS (
@@ -106,7 +106,7 @@ tree AS (
   SELECT b.page_id, b.depth, p.page_id AS parent_id,
          row_number() OVER (ORDER BY b.depth, b.path) AS visit_order
   FROM sp b LEFT JOIN sp p ON p.depth = b.depth - 1 AND p.path = b.path[1:len(b.path) - 1]
-  QUALIFY visit_order <= {MAX_PAGES}),
+  {f"QUALIFY visit_order <= {max_pages}" if max_pages else ""}),
 pg AS (
   SELECT CAST(p.page_id AS BIGINT) AS page_id, p.url, {_title('p.html')} AS title, {_body('p.html')} AS body,
          '' AS last_modified, CAST(strlen(coalesce(p.html, '')) AS BIGINT) AS size, t.visit_order AS page_order
@@ -336,21 +336,26 @@ l AS (SELECT page_id, base, unnest(hrefs) AS href, CAST(unnest(range(len(hrefs))
     q["extract_links"] = links + "SELECT page_id, link_pos, href FROM l"
     q["resolve_url"] = links + f"SELECT page_id, link_pos, {_resolve('base', 'href')} AS url FROM l"
     crawl = _with(crawl_ctes())
-    q["crawl_tree"] = crawl + """SELECT t.page_id, p.url, CAST(t.depth AS BIGINT) AS depth, CAST(t.visit_order AS BIGINT) AS visit_order,
+    visits = """SELECT t.page_id, p.url, CAST(t.depth AS BIGINT) AS depth, CAST(t.visit_order AS BIGINT) AS visit_order,
   coalesce(t.parent_id, -1) AS parent_id FROM tree t JOIN pages p ON p.page_id = t.page_id"""
+    q["crawl_tree"] = crawl + visits
+    q["crawl_budget"] = _with(crawl_ctes(CRAWL_BUDGET)) + visits
     q["parent_links"] = crawl + "SELECT l.page_id, p.url, l.parent_links FROM plinks l JOIN pages p ON p.page_id = l.page_id"
     q["child_links"] = crawl + "SELECT l.page_id, p.url, l.child_links FROM clinks l JOIN pages p ON p.page_id = l.page_id"
-    q["changed_pages"] = _with(DOCS) + """SELECT s.url FROM (
-  SELECT url, '' AS last_modified FROM pages UNION ALL SELECT url, last_modified FROM docs) s
-LEFT JOIN (SELECT url, '' AS lm FROM pages) st ON st.url = s.url
-WHERE st.url IS NULL OR st.lm IS DISTINCT FROM coalesce(s.last_modified, '')"""
+    day = "'2024-01-' || lpad(CAST({} % 28 + 1 AS VARCHAR), 2, '0')"
+    q["changed_pages"] = _with(DOCS, "pu AS (SELECT url, min(page_id) AS page_id FROM pages GROUP BY url)") + f"""SELECT s.url FROM (
+  SELECT url, {day.format("(page_id + CASE WHEN page_id % 3 = 0 THEN 1 ELSE 0 END)")} AS last_modified FROM pu
+  UNION ALL SELECT url, last_modified FROM docs) s
+LEFT JOIN (SELECT url, {day.format("page_id")} AS lm FROM pu) st ON st.url = s.url
+WHERE st.url IS NULL OR st.lm IS DISTINCT FROM s.last_modified"""
     q["merge_index"] = _with(
         DOCS,
         f"""pgall AS (
   SELECT url, {_title('html')} AS title, {_body('html')} AS body, '' AS last_modified,
-         CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages)""",
+         CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages
+  QUALIFY row_number() OVER (PARTITION BY url ORDER BY title DESC, body DESC) = 1)""",
         """mc AS (
-  SELECT page_id, url, title, body, last_modified, size, page_id AS page_order FROM docs
+  SELECT page_id, url, title, CASE WHEN page_id % 2 = 0 THEN title ELSE body END AS body, last_modified, size, page_id AS page_order FROM docs
   UNION ALL
   SELECT (SELECT coalesce(max(page_id), -1) FROM docs) + row_number() OVER (ORDER BY url), url, title, body,
          last_modified, size, 0 FROM pgall WHERE url NOT IN (SELECT url FROM docs))""",
@@ -362,7 +367,9 @@ SELECT 'title', term, page_id, title_tf, array_to_string(title_positions, ',') F
     q["dedupe_pages"] = _with(DOCS) + """SELECT page_id, url, size FROM (
   SELECT page_id, url, size, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM (
     SELECT CAST(page_id AS BIGINT) AS page_id, url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages
-    UNION ALL SELECT page_id, url, size FROM docs))
+    UNION ALL SELECT page_id, url, size FROM docs
+    UNION ALL SELECT page_id + 1000000000, url, strlen(coalesce(html, '')) + 1 FROM pages
+    UNION ALL SELECT page_id + 1000000000, url, size + 1 FROM docs))
 WHERE rn = 1"""
     q["term_df_lookup"] = _docs_index() + f""", bt AS (
   SELECT DISTINCT {porter_sql('w')} AS term FROM (SELECT lower(unnest(regexp_extract_all(coalesce(text, ''), {PAT}))) AS w FROM benchmark))

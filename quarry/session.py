@@ -7,6 +7,7 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import zipfile
@@ -57,6 +58,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def progress_dir(spark: SparkSession, stream: str, root: str) -> str:
+    """Where a stream over ``root`` keeps its progress: a folder of its own
+    for every root, below ``spark.checkpoint.dir`` where that is set (so a
+    restarted stream finds it again)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    return os.path.join(base, f"{stream}-{hashlib.sha256(root.rstrip('/').encode()).hexdigest()[:24]}")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)

@@ -3,7 +3,7 @@
 Both loaders produce the canonical corpus
 ``page_id long, url string, title string, body string, last_modified string, size long``:
 
-* ``documents_as_corpus``: plain-text documents; title = first 8 tokens of the
+* ``documents_as_corpus``: plain-text documents; title = the tokens of the
   first line (so the title is also inside the body, as for HTML pages).
 * ``pages_as_corpus``: raw HTML pages; title and body extracted with column
   expressions (``quarry.functions.html``).
@@ -22,7 +22,6 @@ from quarry.functions.html import extract_body, extract_title
 from quarry.functions.text import first_line, tokenize
 
 CORPUS_COLUMNS = ("page_id", "url", "title", "body", "last_modified", "size")
-TITLE_TOKENS = 8
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +33,7 @@ def documents_as_corpus(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("doc_id").cast("long").alias("page_id"),
         F.concat(F.lit("doc://"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
-        F.array_join(F.slice(tokenize(first_line(text)), 1, TITLE_TOKENS), " ").alias("title"),
+        F.array_join(tokenize(first_line(text)), " ").alias("title"),
         text.alias("body"),
         F.lit("").alias("last_modified"),
         F.octet_length(text).cast("long").alias("size"),
@@ -65,10 +64,3 @@ def pages_as_corpus(pages: DataFrame) -> DataFrame:
         "size",
     )
 
-
-def load_corpus(spark: SparkSession, sf_dir: str, source: str = "documents") -> DataFrame:
-    if source == "documents":
-        return documents_as_corpus(read_table(spark, sf_dir, "documents"))
-    if source == "pages":
-        return pages_as_corpus(read_table(spark, sf_dir, "pages"))
-    raise ValueError(f"unknown corpus source {source!r}")

@@ -15,27 +15,30 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators.results import recent_distinct
-from quarry.session import checkpoint_dir
+from quarry.session import progress_dir
 
 EVENTS_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
 def latest_state(spark: SparkSession, state_root: str, before: int | None = None) -> str | None:
-    """Path of the newest ``version=N`` state (``N < before`` if given), or
-    None before the first batch."""
+    """Path of the newest finished ``version=N`` state (``N < before`` if
+    given), or None before the first batch. A version counts once its marker,
+    which is written last, is there; only markers are read."""
     try:
-        files = spark.read.parquet(os.path.join(state_root, "version=*")).select(F.input_file_name().alias("f"))
-    except Exception:  # noqa: BLE001 - no state written yet
+        done = spark.read.schema("version long").json(os.path.join(state_root, "finished", "*"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    version = F.regexp_extract("f", r"version=(\d+)", 1).cast("long")
     if before is not None:
-        files = files.where(version < before)
-    newest = files.select(F.max(version)).first()[0]
+        done = done.where(F.col("version") < before)
+    newest = done.select(F.max("version")).first()[0]
     return None if newest is None else os.path.join(state_root, f"version={newest}")
 
 
@@ -51,6 +54,8 @@ def fold_batch(
         fresh = fresh.unionByName(spark.read.parquet(prev).select(key, value, "last_ts"))
     state = recent_distinct(fresh.withColumnRenamed("last_ts", ts), key=key, value=value, ts=ts, k=k)
     state.write.mode("overwrite").parquet(os.path.join(state_root, f"version={epoch}"))
+    marker = spark.range(1).select(F.lit(epoch).cast("long").alias("version"))
+    marker.write.mode("overwrite").json(os.path.join(state_root, "finished", str(epoch)))
 
 
 def start_recent_stream(
@@ -66,6 +71,6 @@ def start_recent_stream(
     stream = spark.readStream.schema(EVENTS_SCHEMA).parquet(source_dir)
     writer = stream.writeStream.foreachBatch(
         lambda b, e: fold_batch(spark, b, state_root, e, key, value, ts, k)
-    ).option("checkpointLocation", os.path.join(checkpoint_dir(spark), "recent-stream-" + os.path.basename(state_root)))
+    ).option("checkpointLocation", progress_dir(spark, "recent-stream", state_root))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

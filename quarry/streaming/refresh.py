@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators.analyze import analyze
-from quarry.operators.index import refresh_index
+from quarry.operators.index import latest_per_url, refresh_index
 from quarry.operators.links import changed_pages
-from quarry.session import checkpoint_dir
+from quarry.session import progress_dir
 from quarry.sources.corpus import pages_as_corpus
 from quarry.sources.stopwords import load_stopwords
 from quarry.sources.store import read_index, write_index
@@ -49,7 +49,7 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, index_root: str, epoch:
     old = read_index(spark, latest_version(spark, index_root, before=epoch + 1))
     stops = load_stopwords(spark)
     snapshot = pages_as_corpus(batch)
-    if changed_pages(snapshot, old.pages).isEmpty():
+    if changed_pages(latest_per_url(snapshot), old.pages).isEmpty():
         return  # a re-crawl of unchanged pages writes nothing
     new = refresh_index(old, snapshot, lambda c: analyze(c, stops))
     write_index(new, os.path.join(index_root, f"version={epoch + 1}"), buckets=old.term_buckets)
@@ -61,7 +61,7 @@ def start_refresh_stream(
     """Watch ``source_dir`` for snapshot files; ``index_root/version=0`` must hold the base index."""
     stream = spark.readStream.schema(SNAPSHOT_SCHEMA).parquet(source_dir)
     writer = stream.writeStream.foreachBatch(lambda b, e: refresh_batch(spark, b, index_root, e)).option(
-        "checkpointLocation", os.path.join(checkpoint_dir(spark), "refresh-stream")
+        "checkpointLocation", progress_dir(spark, "refresh-stream", index_root)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
