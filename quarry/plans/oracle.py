@@ -10,8 +10,8 @@ order comes from recursive CTEs over shortest paths. Tables ``documents``,
 
 from __future__ import annotations
 
-from quarry.functions.html import BLOCKS_PATTERN, ENTITIES, HREF_PATTERN, NON_TEXT_PATTERN, TITLE_PATTERN
-from quarry.functions.text import TOKEN_PATTERN
+from html.entities import html5
+
 from quarry.plans.porter_sql import porter_sql
 from quarry.sources.stopwords import read_stopword_lines
 
@@ -20,29 +20,51 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-PAT = _q(TOKEN_PATTERN)
+# Written here again, for the SQL engine's own regex dialect; nothing is shared with the Spark expressions.
+PAT = _q(r"[\p{L}\p{N}_]+(?:'+[\p{L}\p{N}_]+)*")
+BLOCKS_PATTERN = r"(?is)<!--.*?(-->|\z)|<script\b[^>]*>.*?(</script\s*>|\z)|<style\b[^>]*>.*?(</style\s*>|\z)|<template\b[^>]*>.*?(</template\s*>|\z)"
+TAG_PATTERN = r"""(?is)</?[a-z]("[^"]*"|'[^']*'|[^"'>])*>|<[!?][^>]*>"""
+TITLE_PATTERN = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
+ANCHOR_PATTERN = r"""(?is)<a[\s/](?:"[^"]*"|'[^']*'|[^"'>])*>"""
+HREF_PATTERN = r"""(?is)[\s/"']href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+REF_PATTERN = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
 TOP_K = 50
 CRAWL_BUDGET = 75
 
 
+def _references() -> str:
+    return "MAP {" + ", ".join(f"{_q('&' + k)}: {_q(v)}" for k, v in html5.items()) + "}"
+
+
 def _unescape(x: str) -> str:
-    for ent, ch in ENTITIES:
-        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
-    return x
+    """Numbers by code point, names by table (a name without ``;`` only whole), one pass."""
+    code = (
+        "CASE WHEN regexp_matches(r, '^&#[xX]') THEN chr(CAST('0x' || regexp_extract(r, '[xX]([0-9a-fA-F]+)', 1) AS INTEGER)) "
+        "WHEN starts_with(r, '&#') THEN chr(CAST(regexp_extract(r, '[0-9]+') AS INTEGER)) "
+        f"WHEN r = '&amp;' THEN '&' ELSE coalesce({_references()}[r], r) END"
+    )
+    parts = f"string_split_regex({x}, {_q(REF_PATTERN)})"
+    refs = f"list_transform(regexp_extract_all({x}, {_q(REF_PATTERN)}, 0), lambda r: {code})"
+    joined = f"array_to_string(list_transform(list_zip({parts}, {refs}), lambda z: coalesce(z[1], '') || coalesce(z[2], '')), '')"
+    return f"(CASE WHEN contains({x}, '&') THEN {joined} ELSE {x} END)"
+
+
+def _visible(html: str) -> str:
+    return f"regexp_replace(coalesce({html}, ''), {_q(BLOCKS_PATTERN)}, ' ', 'g')"
 
 
 def _title(html: str) -> str:
-    return _unescape(f"regexp_extract(coalesce({html}, ''), {_q(TITLE_PATTERN)}, 1)")
+    return _unescape(f"regexp_extract({_visible(html)}, {_q(TITLE_PATTERN)}, 1)")
 
 
 def _body(html: str) -> str:
-    text = _unescape(f"regexp_replace(coalesce({html}, ''), {_q(NON_TEXT_PATTERN)}, ' ', 'g')")
+    text = _unescape(f"regexp_replace({_visible(html)}, {_q(TAG_PATTERN)}, ' ', 'g')")
     return f"trim(regexp_replace({text}, '[\\s\\x{{00a0}}]+', ' ', 'g'))"
 
 
 def _hrefs(html: str) -> str:
-    visible = f"regexp_replace(coalesce({html}, ''), {_q(BLOCKS_PATTERN)}, ' ', 'g')"
-    raw = f"regexp_extract_all({visible}, {_q(HREF_PATTERN)}, 1)"
+    tags = f"regexp_extract_all({_visible(html)}, {_q(ANCHOR_PATTERN)})"
+    raw = f"list_transform({tags}, lambda t: regexp_replace(regexp_extract(t, {_q(HREF_PATTERN)}, 1), '^([\"'']?)(.*?)[\"'']?$', '\\2'))"
     cleaned = f"list_transform({raw}, lambda h: regexp_replace({_unescape('h')}, '^\\s+|\\s+$', '', 'g'))"
     return f"list_filter({cleaned}, lambda h: h <> '' AND NOT starts_with(h, 'javascript:'))"
 
@@ -403,6 +425,12 @@ SELECT query_id, CAST(0 AS BIGINT), 'No results found.' FROM bq WHERE query_id N
 
 def _resolve(base: str, href: str) -> str:
     """Reference resolution of ``href`` against ``base`` (see html.resolve_url)."""
+    href = f"regexp_replace({href}, '[\\t\\r\\n]', '', 'g')"
+    href = (
+        f"(CASE WHEN regexp_matches({href}, '^[^/?#:]+:') AND NOT regexp_matches({href}, '^[^:]*://[^/?#]') "
+        f"AND lower(split_part({href}, ':', 1)) = lower(split_part({base}, ':', 1)) "
+        f"THEN substr({href}, strpos({href}, ':') + 1) ELSE {href} END)"
+    )
     net = f"regexp_matches({href}, '^//[^/?#]')"
     href = f"(CASE WHEN regexp_matches({href}, '^//($|[/?#])') THEN substr({href}, 3) ELSE {href} END)"
     scheme = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1)"
