@@ -8,6 +8,8 @@ results can be compared value by value with the DuckDB oracle
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -43,7 +45,9 @@ from quarry.operators.report import format_results, page_blocks
 from quarry.operators.results import enrich_results, paginate, recent_distinct
 from quarry.operators.util import rebalance_small_input
 from quarry.sources.corpus import documents_as_corpus, pages_as_corpus, read_pages, read_table
+from quarry.session import checkpoint_dir, cut_lineage
 from quarry.sources.stopwords import load_stopwords
+from quarry.sources.store import read_index, write_index
 
 SCORE_DECIMALS = 6
 CRAWL_BUDGET = 75
@@ -155,7 +159,7 @@ def q_stem_vocabulary(spark, sf_dir):
 def q_stopword_filter(spark, sf_dir):
     d = documents_index(spark, sf_dir)
     all_terms = field_terms(d.corpus, stem=True).select(F.explode("terms").alias("term"))
-    dropped = all_terms.join(F.broadcast(d.stops), "term", "left_semi")
+    dropped = all_terms.join(d.stops, "term", "left_semi")
     return dropped.groupBy("term").agg(F.count(F.lit(1)).alias("n_dropped"))
 
 
@@ -284,6 +288,50 @@ def q_similar_pages(spark, sf_dir):
     return hits.select("query_id", "rank", "page_id", _round("score"))
 
 
+def q_similar_to_pages(spark, sf_dir):
+    """Similar pages for requested pages: the best hit of every benchmark query."""
+    index = documents_index(spark, sf_dir).index
+    best = srch.search(benchmark_queries(spark, sf_dir), index).where("rank = 1")
+    urls = best.join(index.pages.select("page_id", "url"), "page_id").select("url")
+    hits = srch.search(lookup.keyword_query(index, urls=cut_lineage(urls.distinct())), index)
+    return hits.select("query_id", "rank", "page_id", _round("score"))
+
+
+def _stored(spark, sf_dir) -> tuple[DocumentsIndex, Index]:
+    """The documents index, written to the shared folder and read back."""
+    d = documents_index(spark, sf_dir)
+    path = os.path.join(checkpoint_dir(spark), f"index-{uuid.uuid4().hex}")
+    write_index(d.index, path)
+    return d, read_index(spark, path)
+
+
+def q_search_stored(spark, sf_dir):
+    return _search(_stored(spark, sf_dir)[1], benchmark_queries(spark, sf_dir))
+
+
+def q_lookup_stored(spark, sf_dir):
+    """tf, positions and max tf of (url, term) requests from the stored index."""
+    d, index = _stored(spark, sf_dir)
+    asked = _title_requests(d.corpus)
+    tf, pos = lookup.term_frequency(asked, index), lookup.term_positions(asked, index)
+    mx = lookup.page_max_tf(asked.select("url").distinct(), index)
+    out = tf.join(pos, ["url", "term"]).join(mx, "url")
+    return out.select("url", "term", "body_tf", "title_tf", positions_csv(F.col("body_positions")).alias("body_positions"), "body_maxtf")
+
+
+def q_search_guards(spark, sf_dir):
+    """Queries that match nothing: no words, a quoted run of none, an unknown
+    word, an unclosed quote of nothing. How many results each has."""
+    b = read_table(spark, sf_dir, "benchmark")
+    bare = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\p{L}\p{N}_']+", "")
+    unknown = F.concat(F.lit("qzx"), F.col("item_id").cast("string"), F.lit("qzx"))
+    forms = [bare, F.concat(F.lit('"'), bare, F.lit('"')), unknown, F.concat(F.lit('"'), unknown, F.lit(' the"')), F.lit('"')]
+    rows = F.posexplode(F.array(*forms)).alias("form", "query")
+    asked = b.select("item_id", rows).select((F.col("item_id") * 10 + F.col("form")).cast("long").alias("query_id"), "query")
+    hits = srch.search(asked, documents_index(spark, sf_dir).index).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    return asked.join(hits, "query_id", "left").select("query_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_results"))
+
+
 def q_enriched_results(spark, sf_dir):
     c = crawl_index(spark, sf_dir)
     hits = srch.search(benchmark_queries(spark, sf_dir), c.index)
@@ -461,6 +509,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_topk": q_search_topk,
     "explain_scores": q_explain_scores,
     "similar_pages": q_similar_pages,
+    "similar_to_pages": q_similar_to_pages,
+    "search_stored": q_search_stored,
+    "lookup_stored": q_lookup_stored,
+    "search_guards": q_search_guards,
     "enriched_results": q_enriched_results,
     "paginate": q_paginate,
     "extract_title": q_extract_title,

@@ -1,7 +1,7 @@
 """The Porter stemmer (extended mode) as one DuckDB SQL expression.
 
 Used only by the correctness oracle, so that the stemmed index can be checked
-against SQL that shares no code with the Spark path. It is written
+against SQL: the rules are the same fixed tables, applied by the SQL engine. It is written
 differently on purpose: the consonant/vowel form of a stem is built with
 ``list_reduce`` over its characters and every step is a ``CASE`` over suffix
 tests; intermediate values are bound once with
