@@ -4,7 +4,7 @@ A window is ``WINDOW`` consecutive words. A window that occurs again contains th
 the one of least hash; so only these *anchor* phrases, about one in seven words, are compared first:
 
 1. every block of documents sends its distinct anchor phrases (hashes), and learns which of them recur elsewhere;
-2. each block compiles an Aho-Corasick automaton of its recurring phrases (sequences of word numbers) and streams all its
+2. each block compiles an Aho-Corasick automaton of its recurring phrases (word numbers, spelled as digits) and streams all its
    documents through it, which locates every occurrence; the windows anchored there are sent (64-bit hashes of their words), and
    those that a lower block has too come back;
 3. windows that occur earlier, in a lower block or further up in the same one, cover the words that are removed.
@@ -29,6 +29,19 @@ from pyspark.sql import DataFrame
 from quarry.llm import blocks as B
 
 WINDOW, PHRASE = 20, 8
+#: Letters that spell a word number.
+DIGITS = 3
+
+
+def spelled(number: np.ndarray, n: int) -> str:
+    """Word numbers below n as digits, each place with an alphabet of its own, so that a phrase matches at words only; -1 as a
+    letter that no number has. An automaton's node then has few children, which it searches one by one."""
+    base = 1
+    while base**DIGITS < n:
+        base += 1
+    places = [number // base**i % base + 1 + i * base for i in range(DIGITS)]
+    letters = np.where(number[:, None] >= 0, np.stack(places, axis=1), DIGITS * base + 1)
+    return letters.astype("<u4").tobytes().decode("utf-32-le")
 
 
 class Block:
@@ -58,15 +71,17 @@ class Block:
         if not len(at):
             return located
         _, first = np.unique(self.phrases[at], return_index=True)
-        _, number = np.unique(self.words.hashes, return_inverse=True)
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for i, j in enumerate(at[first].tolist()):
-            automaton.add_word(tuple(number[j : j + phrase].tolist()), i)
+        starts = at[first]
+        used = np.unique(self.words.hashes[starts[:, None] + np.arange(phrase)])
+        number = np.where(B.is_in(self.words.hashes, used), np.searchsorted(used, self.words.hashes), -1)
+        text = spelled(number, len(used))
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for j in starts.tolist():
+            automaton.add_word(text[DIGITS * j : DIGITS * (j + phrase)])
         automaton.make_automaton()
         for a, b in zip(self.words.frm.tolist(), self.words.to.tolist(), strict=True):
-            if b - a >= phrase:
-                ends = [end for end, _ in automaton.iter(tuple(number[a:b].tolist()))]
-                located[a - phrase + 1 + np.array(ends, np.int64)] = True
+            ends = [end for end, _ in automaton.iter(text[DIGITS * a : DIGITS * b])]
+            located[a - phrase + (np.array(ends, np.int64) + 1) // DIGITS] = True
         return located
 
     def anchored(self, located: np.ndarray) -> np.ndarray:
