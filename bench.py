@@ -34,7 +34,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from quarry.functions.html import extract_body, extract_title  # noqa: E402
 from quarry.operators import lookup, search as srch  # noqa: E402
-from quarry.operators.analyze import analyze  # noqa: E402
+from quarry.operators.analyze import page_postings  # noqa: E402
 from quarry.operators.index import build_index  # noqa: E402
 from quarry.operators.links import child_links, extract_links, parent_links  # noqa: E402
 from quarry.operators.report import page_blocks  # noqa: E402
@@ -74,8 +74,7 @@ def main() -> None:
 
     def build():
         corpus = rebalance_small_input(documents_as_corpus(read_table(spark, sf_dir, "documents")), "page_id")
-        tokens = analyze(corpus, load_stopwords(spark))
-        write_index(build_index(tokens, corpus), index_path)
+        write_index(build_index(None, corpus, page_postings(corpus, load_stopwords(spark))), index_path)
 
     timed("index_build", build)
     index = read_index(spark, index_path)

@@ -8,14 +8,22 @@ broadcast anti-join against the (bounded) stop-stem table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.stem import stem_array_column
+from quarry.functions.stem import stem_array_column, stem_values
 from quarry.functions.text import lower_tokens, tokenize
 from quarry.operators.util import bounded_broadcast
 
 FIELDS = ("body", "title")
+POSTINGS = (
+    "page_id long, term string, body_tf long, title_tf long, body_positions array<int>, title_positions array<int>"
+)
 
 
 def field_terms(corpus: DataFrame, stem: bool = True) -> DataFrame:
@@ -40,6 +48,61 @@ def analyze(corpus: DataFrame, stopwords: DataFrame | None = None, stem: bool =
     return tokens.select("page_id", "field", "pos", "term")
 
 
+def page_postings(corpus: DataFrame, stopwords: DataFrame | None = None, stem: bool = True) -> DataFrame:
+    """``(page_id, term, body_tf, title_tf, body_positions, title_positions)``
+    straight from the pages, one row per page and term.
+
+    All tokens of a page sit in its row, so the Arrow step that stems them
+    also groups them: no token is ever a row of its own, and nothing is
+    shuffled. Stop stems are left out of the grouped rows. Page ids are unique."""
+    arrays = corpus.select("page_id", *[lower_tokens(tokenize(F.col(f))).alias(f) for f in FIELDS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield group_terms(batch, stem)
+
+    wide = arrays.mapInArrow(run, POSTINGS)
+    if stopwords is None:
+        return wide
+    stops = bounded_broadcast(stopwords.select("term").distinct(), max_rows=100_000)
+    return wide.join(stops, "term", "left_anti").select(*wide.columns)
+
+
+def group_terms(batch: pa.RecordBatch, stem: bool) -> pa.RecordBatch:
+    """Postings of a batch of (page_id, body, title) token arrays."""
+    owners, positions, fields, flats = [], [], [], []
+    for f, name in enumerate(FIELDS):
+        lists = batch.column(name)
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
+        owners.append(np.repeat(np.arange(len(lengths)), lengths))
+        positions.append(np.arange(lengths.sum()) - np.repeat(starts, lengths))
+        fields.append(np.full(lengths.sum(), f))
+        flats.append(lists.flatten())
+    encoded = pc.dictionary_encode(pa.concat_arrays(flats))
+    words = stem_values(encoded.dictionary) if stem else encoded.dictionary
+    stems = pc.dictionary_encode(words)
+    code = stems.indices.to_numpy(zero_copy_only=False)[encoded.indices.to_numpy(zero_copy_only=False)].astype(np.int64)
+    owner, position, field = map(np.concatenate, (owners, positions, fields))
+    key = owner * max(1, len(stems.dictionary)) + code
+    order = np.lexsort((position, field, key))
+    key, position, in_title = key[order], position[order].astype(np.int32), field[order] == 1
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    columns = [
+        batch.column("page_id").take(pa.array(owner[order][first])),
+        stems.dictionary.take(pa.array(code[order][first])),
+    ]
+    counts, lists = [], []
+    for mine in (~in_title, in_title):
+        n = np.add.reduceat(mine.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+        counts.append(pa.array(n))
+        offsets = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
+        lists.append(pa.ListArray.from_arrays(offsets, pa.array(position[mine])))
+    return pa.RecordBatch.from_arrays(
+        [*columns, *counts, *lists], names=["page_id", "term", "body_tf", "title_tf", "body_positions", "title_positions"]
+    )
+
+
 def tokenize_frame(corpus: DataFrame, stem: bool = True, stopwords: DataFrame | None = None) -> DataFrame:
     """Token statistics per page and field (number of tokens / kept terms)."""
     terms = field_terms(corpus, stem)

@@ -295,9 +295,11 @@ class Index:
         return n_docs_scalar(self.pages)
 
 
-def build_index(tokens: DataFrame, corpus: DataFrame) -> Index:
+def build_index(tokens: DataFrame | None, corpus: DataFrame, wide: DataFrame | None = None) -> Index:
+    """Index tables from a token stream, or from ``wide`` postings that were
+    grouped page by page (``analyze.page_postings``; no shuffle of tokens)."""
     pages = corpus.select(*[c for c in corpus.columns if c != "body"])
-    wide = wide_postings(tokens)
+    wide = wide_postings(tokens) if wide is None else wide
     tdf = term_df(wide)
     weights = document_weights(wide, pages, tdf)
     return Index(pages=pages, wide=wide, term_df=tdf, weights=weights)

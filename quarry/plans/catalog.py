@@ -20,7 +20,7 @@ from quarry.functions.html import extract_body, extract_hrefs, extract_title
 from quarry.functions.stem import stem_array_column
 from quarry.functions.text import lower_tokens, positions_csv, tokenize
 from quarry.operators import lookup, search as srch
-from quarry.operators.analyze import analyze, field_terms, tokenize_frame
+from quarry.operators.analyze import analyze, field_terms, page_postings, tokenize_frame
 from quarry.operators.index import (
     Index,
     assign_word_ids,
@@ -65,7 +65,7 @@ def documents_index(spark: SparkSession, sf_dir: str) -> DocumentsIndex:
     corpus = rebalance_small_input(documents_as_corpus(read_table(spark, sf_dir, "documents")), "page_id")
     stops = load_stopwords(spark)
     tokens = analyze(corpus, stops)
-    return DocumentsIndex(corpus, stops, tokens, build_index(tokens, corpus))
+    return DocumentsIndex(corpus, stops, tokens, build_index(None, corpus, page_postings(corpus, stops)))
 
 
 @dataclass
@@ -85,8 +85,7 @@ def crawl_index(spark: SparkSession, sf_dir: str) -> CrawlIndex:
     corpus = rebalance_small_input(pages_as_corpus(raw), "page_id").join(
         tree.select("page_id", F.col("visit_order").alias("page_order")), "page_id"
     )
-    tokens = analyze(corpus, load_stopwords(spark))
-    return CrawlIndex(snapshot, tree, corpus, build_index(tokens, corpus))
+    return CrawlIndex(snapshot, tree, corpus, build_index(None, corpus, page_postings(corpus, load_stopwords(spark))))
 
 
 def _phrases(toks: F.Column, n: int) -> F.Column:

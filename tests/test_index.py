@@ -113,3 +113,24 @@ def test_first_seen_packed_equals_struct_path(spark):
     packed = sorted(tuple(r[c] for c in cols) for r in first_seen(idx.wide, idx.pages).collect())
     plain = sorted(tuple(r[c] for c in cols) for r in first_seen(idx.wide).collect())  # no page table: struct path
     assert packed == plain
+
+
+def test_page_postings_equal_the_token_aggregate(spark):
+    from quarry.operators.analyze import analyze, page_postings
+    from quarry.operators.index import wide_postings
+
+    rows = [
+        (0, "Running the runs", "The title of runs"),
+        (1, None, None),
+        (2, "", "only a title"),
+        (3, "alpha beta alpha alpha's", ""),
+        (4, "the of and", None),
+    ]
+    corpus = spark.createDataFrame(rows, "page_id long, body string, title string").repartition(3)
+    stops = spark.createDataFrame([("the",), ("of",), ("and",)], "term string")
+    plain = lambda df: {r.term + str(r.page_id): (r.body_tf, r.title_tf, r.body_positions, r.title_positions) for r in df.collect()}
+    for stem in (True, False):
+        got = page_postings(corpus, stops, stem)
+        assert got.count() == len(plain(got))
+        assert plain(got) == plain(wide_postings(analyze(corpus, stops, stem)))
+    assert page_postings(corpus.limit(0), None).count() == 0

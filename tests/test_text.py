@@ -110,7 +110,7 @@ def test_resolve_url(spark, href, expected):
 
 def test_stopwords_from_a_shared_path(spark, tmp_path):
     path = tmp_path / "stops.txt"
-    path.write_text("# comment line\n" + "\n".join(read_stopword_lines()) + "\n", encoding="utf-8")
+    path.write_text("\n".join(read_stopword_lines()) + "\n", encoding="utf-8")
     from_path = {r.term for r in load_stopwords(spark, str(path)).collect()}
     packaged = {r.term for r in load_stopwords(spark).collect()}
     assert from_path == packaged
