@@ -29,6 +29,8 @@ SAMPLE_DOCS, EXCERPT, DICT_BYTES = 400, 2_000, 64_000
 #: Words seen less often in the sample are left out of a dictionary; narrowest margin that is accepted.
 MIN_COUNT, MIN_MARGIN = 2, 0.002
 UNKNOWN = "und"
+#: Goes before every text: without it the library would store a short text as it is, whatever the dictionary.
+LEAD = b"\n" * 64
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -56,10 +58,14 @@ def fit(labelled: DataFrame) -> dict[str, bytes]:
         "lang", F.substring("text", 1, EXCERPT).alias("text")
     )
     rows = rows.withColumn("h", F.xxhash64("text"))
-    # a hash bound first, so that few excerpts are sorted: about 4 x SAMPLE_DOCS rows of the languages that have more
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = F.least(F.lit(1.0), F.lit(4.0 * SAMPLE_DOCS) / F.col("n"))
-    near = rows.join(sizes, "lang").where(F.col("h") <= (F.lit(-(2.0**63)) + share * F.lit(2.0**64)))
+    # a hash bound first, so that few excerpts are shuffled: about 4 x SAMPLE_DOCS rows of the languages that have more.
+    # One number per language reaches the driver.
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return {}
+    bounds = {lang: -(2**63) + min(2**64 - 1, int(4 * SAMPLE_DOCS / n * 2**64)) for lang, n in sizes.items()}
+    bound = F.create_map(*[x for lang, most in bounds.items() for x in (F.lit(lang), F.lit(most).cast("long"))])
+    near = rows.where(F.col("h") <= F.element_at(bound, F.col("lang"))).distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     sample = near.withColumn("r", rank).where(F.col("r") <= SAMPLE_DOCS).select("lang", "text").collect()
     counts: dict[str, Counter] = {}
@@ -109,7 +115,7 @@ def _judged(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
         def judge(text: str | None) -> tuple[str, float, bool]:
             if text is None or not names:
                 return UNKNOWN, 0.0, True
-            raw = " ".join(words(text)).encode()
+            raw = LEAD + " ".join(words(text)).encode()
             sizes = sorted((len(p.compress(raw)), i) for i, p in enumerate(packers))
             if len(sizes) == 1:
                 return names[0], 0.0, False
