@@ -36,7 +36,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Passages that occur earlier are cut out; a document of which nothing is left goes."""
     columns = docs.columns
     cut = substrings.substring_dedup(docs).where("n_removed < n_words OR n_words = 0")
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     changed = {"text": text}
     if "n_chars" in columns:
         size = F.length("kept").cast(docs.schema["n_chars"].dataType)

@@ -8,14 +8,18 @@ is no hot task. Rows of one and the same id (or of null id, the last block) stay
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Letters that are hashed at a time.
+LETTERS = 1 << 19
 KEYS = "block int, bucket int, keys binary"
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 UPPER = (np.arange(256) >= 65) & (np.arange(256) <= 90)
@@ -24,27 +28,32 @@ M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """(row: struct of all columns, doc_id, text, block) and the number of blocks."""
+    """(row: struct of all columns but the text, doc_id, text, block) and the number of blocks."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     cuts: list[int] = []
     if n > 1:
         found = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / n for i in range(1, n)], 20 * n)).first()[0]
         cuts = sorted(set(found or []))
-    block = F.lit(0)
-    if cuts:
-        # how many cuts lie below the id
-        at = F.array_position(F.transform(F.array(*map(F.lit, cuts)), lambda c: c >= F.col("doc_id")), True)
-        block = F.when(F.col("doc_id").isNull() | (at == 0), len(cuts)).otherwise(at - 1)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    block = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(cuts_below(F.col("doc_id"), cuts)) if cuts else F.lit(0)
     return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
-        text.alias("text"),
+        F.col("text").cast("string").alias("text"),
         block.cast("int").alias("block"),
     ), len(cuts) + 1
 
 
+def cuts_below(value: Column, cuts: list[int]) -> Column:
+    """How many of the sorted ``cuts`` are less than ``value``: first among every g-th, then among the g after it."""
+    g = math.isqrt(len(cuts)) + 1
+    runs = [cuts[i : i + g] for i in range(0, len(cuts), g)]
+    fine = F.from_json(F.lit(json.dumps([*runs, []])), "array<array<bigint>>")
+    ends = F.from_json(F.lit(json.dumps([run[-1] for run in runs])), "array<bigint>")
+    run = F.size(F.filter(ends, lambda c: c < value))
+    return F.least(run * g + F.size(F.filter(F.get(fine, run), lambda c: c < value)), F.lit(len(cuts)))
+
+
 def buckets_for(blocks: int) -> int:
     """A power of two, about a quarter of the blocks."""
     return 1 << max(2, (blocks // 4).bit_length())
@@ -68,13 +77,18 @@ class Words:
         self.starts, self.ends = edges[::2], edges[1::2]
         lengths = self.ends - self.starts
         first = np.cumsum(lengths) - lengths
-        letters = raw[inside].astype(np.uint64) + np.uint64(1)
+        letters = raw[inside]
+        self.hashes = np.zeros(len(lengths), np.uint64)
         if len(lengths):
             powers = np.cumprod(np.full(int(lengths.max()), BASE, np.uint64))
-            letters *= powers[np.arange(len(letters)) - np.repeat(first, lengths)]
-            self.hashes = mix(np.add.reduceat(letters, first) + lengths.astype(np.uint64))
-        else:
-            self.hashes = np.zeros(0, np.uint64)
+            # some words at a time: each letter takes many bytes for a moment
+            cuts = np.unique(np.append(np.searchsorted(first, np.arange(0, len(letters), LETTERS)), len(lengths)))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                start = first[a]
+                part = letters[start : first[b - 1] + lengths[b - 1]].astype(np.uint64) + np.uint64(1)
+                part *= powers[np.arange(len(part), dtype=np.int32) - np.repeat((first[a:b] - start).astype(np.int32), lengths[a:b])]
+                self.hashes[a:b] = np.add.reduceat(part, first[a:b] - start)
+            self.hashes = mix(self.hashes + lengths.astype(np.uint64))
         sizes = np.array([len(t) for t in texts], np.int64) + 1
         ends = np.cumsum(sizes)
         self.to = np.searchsorted(self.starts, ends)
@@ -168,4 +182,4 @@ def is_in(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 
 def texts_of(table: pa.Table) -> list[bytes]:
-    return table.column("text").cast(pa.large_binary()).to_pylist()
+    return [t or b"" for t in table.column("text").cast(pa.large_binary()).to_pylist()]

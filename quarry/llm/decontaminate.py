@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.store import release
+
 Q, EDITS, SHARD_CHARS, PIECE = 8, 0.1, 1 << 20, 1 << 19
 TABLE_BITS = 22
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -193,6 +195,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) ->
                     pa.array([r[3] for r in found], pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "edits", "ends_at"])
+            release()
 
         found = narrow.mapInArrow(run, HITS)
         out = found if out is None else out.unionByName(found)
@@ -210,6 +213,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFr
                 good = np.ones(batch.num_rows, bool)
                 good[[r[0] for r in found_in(batch.column("text").to_pylist(), items)]] = False
                 yield batch.filter(pa.array(good))
+            release()
 
         kept = kept.mapInArrow(run, kept.schema)
     return kept.select("row.*")

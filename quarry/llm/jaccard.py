@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from quarry.llm import blocks as B
 from quarry.llm.components import EDGES, Forest, components
 from quarry.llm.shared import written
+from quarry.llm.store import release
 
 K, PERCENT, CHUNK, PIVOTS = 5, 75, 1_000_000, 4
 SETS = "doc_id long, n_shingles long, digest binary, shingles binary, prefix binary"
@@ -153,6 +154,7 @@ def sets(docs: DataFrame, k: int = K, percent: int = PERCENT, block_bytes: int =
                 column.append(value)
         types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         names = ["doc_id", "n_shingles", "digest", "shingles", "prefix"]
+        release()
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     answers = list_lengths(grouped.applyInArrow(send, B.KEYS)).groupBy("block")
@@ -229,6 +231,7 @@ def search(tasks: DataFrame, keys: list[str], percent: int = PERCENT) -> DataFra
         members = [np.frombuffer(x[0], "<u8") for x in best.values()]
         mine, known = np.array([x[1] for x in best.values()]), [x[2] for x in best.values()]
         found = np.array(divide_skip(list(best), members, mine, known, percent), np.int64).reshape(-1, 2)
+        release()
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
     return tasks.groupBy(*keys).applyInArrow(run, EDGES)

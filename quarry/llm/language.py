@@ -25,6 +25,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.llm.shared import chunks
+from quarry.llm.store import release
+
 SAMPLE_DOCS, EXCERPT, DICT_BYTES = 400, 2_000, 64_000
 #: Words seen less often in the sample are left out of a dictionary; narrowest margin that is accepted.
 MIN_COUNT, MIN_MARGIN = 2, 0.002
@@ -102,7 +105,8 @@ def _judged(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     """``docs`` with its columns renamed k_0, k_1, ..., and the verdict."""
     names = sorted(dictionaries)
     kept = [F.col(f"`{c}`").alias(f"k_{i}") for i, c in enumerate(docs.columns)]
-    lettered = docs.select(*kept, F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
+    lettered = docs.select(*kept, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+    place = docs.columns.index("text")
     fields = ", ".join(f"k_{i} {t.dataType.simpleString()}" for i, t in enumerate(docs.schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,13 +126,14 @@ def _judged(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
             score = 1 - sizes[0][0] / sizes[1][0]
             return names[sizes[0][1]], score, score < MIN_MARGIN
 
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            lang, score, rejected = zip(*map(judge, texts), strict=True) if texts else ((), (), ())
+        for batch in (part for whole in batches for part in chunks(whole, f"k_{place}")):
+            texts = zip(batch.column(place).to_pylist(), batch.column("lettered").to_pylist(), strict=True)
+            lang, score, rejected = zip(*(judge(t if has else None) for t, has in texts), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                 names=[*batch.schema.names[:-1], "lang_pred", "score", "rejected"],
             )
+        release()
 
     return lettered.mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.shared import chunks, slices, written
+from quarry.llm.store import release
 from quarry.llm.tokens import encoder
 
 CAPACITY = 4096
@@ -50,6 +51,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns[: len(names)], names=names)
+        release()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)

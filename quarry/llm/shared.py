@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def slices(spark: SparkSession, per_core: int = 4) -> int:
 
 def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of whole rows of about ``max_bytes`` of ``column`` (one longer row stays whole)."""
-    lengths = [len(x) if x is not None else 0 for x in batch.column(column).cast(pa.large_binary()).to_pylist()]
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = size = 0
     for i, n in enumerate(lengths):
         if i > start and size + n > max_bytes:

@@ -24,9 +24,11 @@ from itertools import compress
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from quarry.llm import blocks as B
+from quarry.llm.store import release
 
 WINDOW, PHRASE = 20, 8
 #: Letters that spell a word number.
@@ -90,19 +92,24 @@ class Block:
         return self.valid & (B.sliding_min(found, self.width) == self.anchors)
 
 
+def released(table: pa.Table) -> pa.Table:
+    release()
+    return table
+
+
 def in_order(table: pa.Table) -> pa.Table:
-    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return table.take(pc.sort_indices(table.select(["doc_id", "text"]), [("doc_id", "ascending"), ("text", "ascending")]))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
-    """row (all columns of ``docs``), n_words, n_removed, kept (the words left, joined by a space)."""
+    """row (all columns of ``docs`` but the text), text, n_words, n_removed, kept (the words left, joined by a space)."""
     placed, n = B.in_blocks(docs, block_bytes)
     buckets = B.buckets_for(n)
     grouped = placed.groupBy("block")
 
     def anchors(table: pa.Table) -> pa.Table:
         own = Block(B.texts_of(table), window, phrase)
-        return B.by_bucket(table.column("block")[0].as_py(), np.unique(own.anchors[own.valid]), buckets, B.plain)
+        return released(B.by_bucket(table.column("block")[0].as_py(), np.unique(own.anchors[own.valid]), buckets, B.plain))
 
     def windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(table):
@@ -110,7 +117,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
         own = Block(B.texts_of(table), window, phrase)
         located = own.locate(own.recurring(B.received(answers)), phrase)
         keys = np.unique(own.words.rolling(window)[own.anchored(located)])
-        return B.by_bucket(table.column("block")[0].as_py(), keys, buckets, B.plain)
+        del own, located
+        return released(B.by_bucket(table.column("block")[0].as_py(), keys, buckets, B.plain))
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         table = in_order(table)
@@ -135,6 +143,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
         return pa.table(
             {
                 "row": table.column("row"),
+                "text": table.column("text"),
                 "n_words": pa.array(w.to - w.frm, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "kept": pa.array(kept, pa.binary()).cast(pa.string()),
@@ -143,5 +152,5 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
 
     recurring = B.shared_keys(grouped.applyInArrow(anchors, B.KEYS)).groupBy("block")
     seen = B.shared_keys(grouped.cogroup(recurring).applyInArrow(windows, B.KEYS), later_only=True).groupBy("block")
-    schema = f"row {placed.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept string"
+    schema = f"row {placed.schema['row'].dataType.simpleString()}, text string, n_words long, n_removed long, kept string"
     return grouped.cogroup(seen).applyInArrow(remove, schema)

@@ -26,7 +26,7 @@ PIECES = re.compile(
 USUAL = re.compile(r"[ \n]?([!-~À-ÖØ-öø-ÿ]+)")
 WORD_END = "</w>"
 #: Pieces that a worker keeps; it starts afresh beyond that.
-MEMO_PIECES, MEMO_CHARS = 500_000, 32_000_000
+MEMO_PIECES, MEMO_CHARS = 250_000, 8_000_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -40,12 +40,11 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.marked = (Tokenizer.from_file(path) for _ in range(2))
-        for t in (self.tokenizer, self.marked):
-            t.no_truncation()
-            t.no_padding()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = True
-        special = self.marked.get_added_tokens_decoder()
+        special = self.tokenizer.get_added_tokens_decoder()
         self.mark_id, self.mark = max((i, t.content) for i, t in special.items())
         self.special = [t.content for t in special.values()]
         vocab = self.tokenizer.get_vocab()
@@ -61,7 +60,11 @@ class Encoder:
         """Ids of any pieces."""
         if any(x in p for p in pieces if "<" in p for x in self.special):
             return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        (joined,) = self.marked.encode_batch_fast([self.mark.join(pieces)], add_special_tokens=False)
+        self.tokenizer.encode_special_tokens = False
+        try:
+            (joined,) = self.tokenizer.encode_batch_fast([self.mark.join(pieces)], add_special_tokens=False)
+        finally:
+            self.tokenizer.encode_special_tokens = True
         ids = np.array(joined.ids, "<u4")
         ends = np.flatnonzero(ids == self.mark_id)
         return self._cut(ids, np.concatenate(([0], ends + 1)), np.concatenate((ends, [len(ids)])))

@@ -16,8 +16,8 @@ from .conftest import frame, words
 
 @pytest.mark.parametrize("block_bytes", [6_000, 1 << 20])
 def test_substring_dedup(odd, odd_rows, block_bytes):
-    got = substrings.substring_dedup(odd, block_bytes=block_bytes).select("row.*", "n_words", "n_removed", F.col("kept").alias("left"))
-    assert got.columns[: len(odd.columns)] == odd.columns
+    got = substrings.substring_dedup(odd, block_bytes=block_bytes).select("row.*", "text", "n_words", "n_removed", F.col("kept").alias("left"))
+    assert got.columns[: len(odd.columns)] == [*(c for c in odd.columns if c != "text"), "text"]
     rows = [(r.doc_id, r.n_words, r.n_removed, r.left) for r in got.collect()]
     assert brute.by_none(rows) == brute.by_none(brute.dedup(odd_rows))
 
@@ -71,6 +71,14 @@ def test_components(spark):
     assert got == {x: c for x, c in parent.items() if any(x in e and e[0] != e[1] for e in edges)}
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 9, 10, 50])
+def test_cuts_below(spark, n):
+    rnd = random.Random(n)
+    cuts = sorted(rnd.sample(range(-60, 60), n))
+    ids = spark.range(-70, 70).select("id", blocks.cuts_below(F.col("id"), cuts).alias("b")).collect()
+    assert [r.b for r in ids] == [sum(c < r.id for c in cuts) for r in ids]
+
+
 def test_word_hashes_tell_words():
     texts = [b"a bb  a\n", b"", b" ", b"bb a \x0bccc"]
     w = blocks.Words(texts)
