@@ -2,9 +2,10 @@
 
 Every language gets a zstandard raw-content dictionary of the words of its labelled texts, the most frequent ones last, where
 they are found first. Words, not excerpts: else passages that many documents share would decide. A whole text, as its
-lower-cased words of letters, is compressed with each dictionary; the smallest result names the language (ties: the first
-in alphabetical order), and the margin ``1 - smallest / second smallest`` is its score. A text is rejected where the
-margin is narrower than ``MIN_MARGIN``.
+lower-cased words of letters, is compressed with each dictionary, in segments of ``SEGMENT`` bytes that each start from the
+dictionary, as it would soon be forgotten in a long text; the smallest sum of the segments' sizes names the language
+(ties: the first in alphabetical order), and the margin ``1 - smallest / second smallest`` is its score. A text is rejected
+where the margin is narrower than ``MIN_MARGIN``.
 
 The dictionaries come from a bounded sample: of each language the ``SAMPLE_DOCS`` labelled rows of lowest hash, the
 first ``EXCERPT`` characters of each, at most ``DICT_BYTES`` of words. Every text is then classified whole.
@@ -34,6 +35,8 @@ MIN_COUNT, MIN_MARGIN = 2, 0.002
 UNKNOWN = "und"
 #: Goes before every text: without it the library would store a short text as it is, whatever the dictionary.
 LEAD = b"\n" * 64
+#: Segments end between words (a word that is longer than a segment is cut).
+SEGMENT = 16 << 10
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -41,6 +44,17 @@ def words(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
+def segments(raw: bytes) -> Iterator[bytes]:
+    """Words that are joined by spaces, in runs of at most ``SEGMENT`` bytes."""
+    start = 0
+    while len(raw) - start > SEGMENT:
+        space = raw.rfind(b" ", start, start + SEGMENT + 1)
+        end = space if space > start else start + SEGMENT
+        yield raw[start:end]
+        start = end + (space > start)
+    yield raw[start:]
+
+
 def parameters() -> zstandard.ZstdCompressionParameters:
     """Short matches, as syllables tell languages apart."""
     return zstandard.ZstdCompressionParameters(
@@ -119,8 +133,8 @@ def _judged(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
         def judge(text: str | None) -> tuple[str, float, bool]:
             if text is None or not names:
                 return UNKNOWN, 0.0, True
-            raw = LEAD + " ".join(words(text)).encode()
-            sizes = sorted((len(p.compress(raw)), i) for i, p in enumerate(packers))
+            parts = [LEAD + part for part in segments(" ".join(words(text)).encode())]
+            sizes = sorted((sum(len(p.compress(part)) for part in parts), i) for i, p in enumerate(packers))
             if len(sizes) == 1:
                 return names[0], 0.0, False
             score = 1 - sizes[0][0] / sizes[1][0]

@@ -52,6 +52,28 @@ def test_language_id_of_odd_rows(spark, odd, empty):
     assert language.classify(empty, dictionaries).count() == 0
 
 
+def test_language_id_of_long_texts(spark):
+    """Clean texts of several MB are accepted, and the later part of a text counts as much as its beginning."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang IN ('en', 'de', 'fr', 'es')")
+    dictionaries = language.fit(docs.where(~language.held_out(F.col("doc_id"))).select("text", "lang"))
+    spoken = {r.lang: " ".join(language.words(r.text)) for r in docs.groupBy("lang").agg(F.array_join(F.sort_array(F.collect_list("text")), " ").alias("text")).collect()}
+    long_text = lambda lang, n: (spoken[lang] + " ") * (n // len(spoken[lang])) + spoken[lang][: n % len(spoken[lang])]
+    asked = [(i, long_text(lang, 3_000_000), lang) for i, lang in enumerate(sorted(spoken))]
+    asked += [(10, long_text("en", 600_000) + " " + long_text("de", 1_500_000), "de"), (11, long_text("fr", 1_500_000) + " " + long_text("es", 600_000), "fr")]
+    got = {r.doc_id: (r.lang_pred, r.rejected) for r in language.classify(frame(spark, [a[:2] for a in asked]), dictionaries).collect()}
+    assert got == {i: (lang, False) for i, _, lang in asked}
+
+
+def test_segments_hold_all_words():
+    rnd = random.Random(2)
+    for sizes in ([5] * 9_000, [40_000, 3, 16_384, 16_383, 1, 16_385], [rnd.randrange(1, 60) for _ in range(4_000)], [], [16_384]):
+        raw = b" ".join(b"x" * n for n in sizes)
+        parts = list(language.segments(raw))
+        assert all(len(p) <= language.SEGMENT for p in parts) and b"".join(parts).replace(b" ", b"") == raw.replace(b" ", b"")
+        if max(sizes, default=0) <= language.SEGMENT:
+            assert b" ".join(parts) == raw
+
+
 def test_quality_on_held_out_documents(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     known = labels.where("doc_id % 3 <> 0")
