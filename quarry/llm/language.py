@@ -7,8 +7,9 @@ dictionary, as it would soon be forgotten in a long text; the smallest sum of th
 (ties: the first in alphabetical order), and the margin ``1 - smallest / second smallest`` is its score. A text is rejected
 where the margin is narrower than ``MIN_MARGIN``.
 
-The dictionaries come from a bounded sample: of each language the ``SAMPLE_DOCS`` labelled rows of lowest hash, the
-first ``EXCERPT`` characters of each, at most ``DICT_BYTES`` of words. Every text is then classified whole.
+The dictionaries come from a bounded sample: of each language the ``SAMPLE_DOCS`` distinct labelled texts of lowest hash (all where it
+has fewer), ``EXCERPT`` characters of each from its beginning to its end, at most ``DICT_BYTES`` of words. Every text is then
+classified whole.
 
 Defined cases: a null text, or one without a letter, is ``und``, rejected, score 0; rows without a label teach nothing; with no
 labelled row at all every document is ``und``; with one language its score is 0 and nothing with a letter is rejected; null or
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from quarry.llm.shared import chunks
 from quarry.llm.store import release
 
-SAMPLE_DOCS, EXCERPT, DICT_BYTES = 400, 2_000, 64_000
+SAMPLE_DOCS, EXCERPT, PARTS, DICT_BYTES = 400, 2_000, 4, 64_000
 #: Words seen less often in the sample are left out of a dictionary; narrowest margin that is accepted.
 MIN_COUNT, MIN_MARGIN = 2, 0.002
 UNKNOWN = "und"
@@ -71,26 +72,44 @@ def parameters() -> zstandard.ZstdCompressionParameters:
 
 def fit(labelled: DataFrame) -> dict[str, bytes]:
     """Dictionaries from (text, lang) rows. Only the bounded sample reaches the driver."""
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "lang", F.substring("text", 1, EXCERPT).alias("text")
-    )
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    # a hash bound first, so that few excerpts are shuffled: about 4 x SAMPLE_DOCS rows of the languages that have more.
-    # One number per language reaches the driver.
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
-        return {}
-    bounds = {lang: -(2**63) + min(2**64 - 1, int(4 * SAMPLE_DOCS / n * 2**64)) for lang, n in sizes.items()}
-    bound = F.create_map(*[x for lang, most in bounds.items() for x in (F.lit(lang), F.lit(most).cast("long"))])
-    near = rows.where(F.col("h") <= F.element_at(bound, F.col("lang"))).distinct()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    sample = near.withColumn("r", rank).where(F.col("r") <= SAMPLE_DOCS).select("lang", "text").collect()
+    taught = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = taught.select("lang", F.xxhash64("text").alias("h"), spread(F.col("text")).alias("text"))
+    # a bound on the hash first, so that few excerpts are shuffled: about 4 x SAMPLE_DOCS of the languages that have more
+    # distinct texts. It only narrows the search: where fewer are found below it, it is raised. One number per language
+    # reaches the driver.
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    shares = {lang: 4 * SAMPLE_DOCS / max(n, 1) for lang, n in sizes.items()}
+    sample: dict[str, list[str]] = {}
+    while shares:
+        found = lowest(rows, shares)
+        sample |= {lang: found.get(lang, []) for lang, share in shares.items() if share >= 1 or len(found.get(lang, [])) == SAMPLE_DOCS}
+        shares = {lang: 16 * share for lang, share in shares.items() if lang not in sample}
     counts: dict[str, Counter] = {}
-    for row in sample:
-        counts.setdefault(row["lang"], Counter()).update(words(row["text"]))
+    for lang, texts in sample.items():
+        counts[lang] = Counter(word for text in texts for word in words(text))
     return {lang: dictionary(c) for lang, c in counts.items()}
 
 
+def spread(text: Column) -> Column:
+    """A text of at most ``EXCERPT`` characters, or ``PARTS`` excerpts from its beginning to its end, ``EXCERPT`` together."""
+    size, n = EXCERPT // PARTS, F.length(text)
+    starts = [F.floor((n - size) * i / (PARTS - 1)).cast("int") + 1 for i in range(PARTS)]
+    return F.when(n <= EXCERPT, text).otherwise(F.concat_ws(" ", *[F.substring(text, at, F.lit(size)) for at in starts]))
+
+
+def lowest(rows: DataFrame, shares: dict[str, float]) -> dict[str, list[str]]:
+    """Of each language in ``shares`` the ``SAMPLE_DOCS`` texts of lowest hash, among that share of all hashes. ``rows``: lang, h, text;
+    copies are one row per task before they are shuffled."""
+    bounds = {lang: -(2**63) + min(2**64 - 1, int(share * 2**64)) for lang, share in shares.items()}
+    bound = F.create_map(*[x for lang, most in bounds.items() for x in (F.lit(lang), F.lit(most).cast("long"))])
+    near = rows.where(F.col("h") <= F.element_at(bound, F.col("lang"))).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    found: dict[str, list[str]] = {}
+    for row in near.withColumn("r", rank).where(F.col("r") <= SAMPLE_DOCS).collect():
+        found.setdefault(row["lang"], []).append(row["text"])
+    return found
+
+
 def dictionary(counts: Counter) -> bytes:
     kept, size, least = [], 0, min(MIN_COUNT, max(counts.values(), default=0))
     for word, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])):

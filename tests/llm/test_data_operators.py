@@ -64,6 +64,30 @@ def test_language_id_of_long_texts(spark):
     assert got == {i: (lang, False) for i, _, lang in asked}
 
 
+def test_language_sample_of_copies(spark, monkeypatch):
+    """Copies of one text take no other text's place in the sample: it is the distinct texts of lowest hash, whatever the bound."""
+    own = F.translate(F.format_string("wort w%d", "id"), "0123456789", "abcdefghij").alias("text")
+    rows = spark.range(500).select(own, F.lit("de").alias("lang")).unionByName(spark.range(3).select(own, F.lit("en").alias("lang"))).cache()
+    copies = rows.unionByName(spark.range(100_000).select(F.lit("copy copy").alias("text"), F.lit("de").alias("lang")).repartition(4))
+    seen = []
+    monkeypatch.setattr(language, "dictionary", lambda counts: seen.append(counts) or b"")
+    assert set(language.fit(copies)) == {"de", "en"}
+    distinct = [r.text for r in copies.where("lang = 'de'").distinct().orderBy(F.xxhash64("text")).limit(language.SAMPLE_DOCS).collect()]
+    assert language.Counter(w for t in distinct for w in language.words(t)) in seen and len(distinct) == 400
+    hashed = rows.select("lang", F.xxhash64("text").alias("h"), "text")
+    assert len(language.lowest(hashed, {"de": 0.01}).get("de", [])) < 50 and len(language.lowest(hashed, {"de": 1.0})["de"]) == 400
+    monkeypatch.setattr(F, "approx_count_distinct", lambda c: F.lit(10**9) + F.max(F.lit(0)))  # an estimate far too high
+    before = seen.copy()
+    language.fit(copies)
+    assert all(counts in before for counts in seen) and len(seen) == 4
+
+
+def test_language_learns_from_whole_texts(spark):
+    text = "a" * 5_000 + "b" * 5_000 + "c" * 10_000
+    got = spark.createDataFrame([(text,), ("short",)], "text string").select(language.spread(F.col("text")).alias("t")).collect()
+    assert [r.t for r in got] == [" ".join(x * 500 for x in "abcc"), "short"]
+
+
 def test_segments_hold_all_words():
     rnd = random.Random(2)
     for sizes in ([5] * 9_000, [40_000, 3, 16_384, 16_383, 1, 16_385], [rnd.randrange(1, 60) for _ in range(4_000)], [], [16_384]):
