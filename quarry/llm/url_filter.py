@@ -8,10 +8,12 @@ pages. Over weighted host edges, personalised PageRank spreads trust from the tr
 from the blocked seeds against them (who links to a blocked host is suspect). A host is blocked where its
 distrust exceeds ``THRESHOLD`` of its trust and distrust together. Edges are the pages' absolute links between hosts, counted per
 pair before any shuffle, and, as a site vouches for its parts, one edge of weight ``SITE_WEIGHT`` each way between a host
-and the domain right above it (of two labels at least).
+and the domain right above it (of two labels at least). The share is rounded to ``PLACES`` decimals, so it does not matter how many
+seeds there are, and equal trust and distrust are equal.
 
 Pages are read once; after that everything has a row per host or pair of hosts. Ranks of hosts without links out are
-not handed on. Ranks are written to the shared folder every ``CUT`` rounds.
+not handed on. Ranks are written to the shared folder every ``CUT`` rounds, and the rounds go on until in ``CUT`` of them no host
+has been reached anew and no rank has changed by more than ``TOLERANCE`` of itself (ranks below ``TINY`` count as unchanged).
 
 Defined cases: a null url or one without ``://`` has an empty host and path, fits no rule and is judged like a host of its own
 without links; repeated rows are judged alike; null html has no links; an empty table gives no rows; other columns are ignored.
@@ -19,6 +21,8 @@ without links; repeated rows are judged alike; null html has no links; an empty
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +30,7 @@ from quarry.llm.shared import written
 
 Rule = tuple[str, str, str]
 DAMPING, ROUNDS, CUT, SITE_WEIGHT, THRESHOLD = 0.8, 8, 4, 1.0, 0.5
+TOLERANCE, TINY, PLACES = 1e-6, 1e-300, 6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: the host of an absolute link (with or without its scheme)
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
@@ -75,8 +80,16 @@ def host_edges(judged: DataFrame) -> DataFrame:
     return counted.unionByName(sites).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """host, trust, distrust from seeds (host, trusted, blocked: how many pages) and edges (src, dst, weight)."""
+def settled(before: DataFrame, after: DataFrame) -> bool:
+    """Whether ranks have (nearly) stayed as they were. A host that has been reached stays reached."""
+    both = after.join(before.withColumnRenamed("rank", "was"), ["kind", "host"], "left")
+    moved = F.col("was").isNull() | (F.abs(F.col("rank") - F.col("was")) > TOLERANCE * F.col("rank") + TINY)
+    return not both.agg(F.bool_or(moved)).first()[0]
+
+
+def propagate(seeds: DataFrame, edges: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
+    """host, trust, distrust from seeds (host, trusted, blocked: how many pages) and edges (src, dst, weight), after so many rounds or,
+    with None, when they have settled."""
     ways = F.explode(
         F.array(
             F.struct(F.lit("trust").alias("kind"), F.col("src"), F.col("dst")),
@@ -94,8 +107,8 @@ def propagate(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     marked = seeds.select("host", kinds.alias("s")).select("s.kind", "host", "s.n").where("n > 0")
     totals = marked.groupBy("kind").agg(F.sum("n").alias("all"))
     start = written(marked.join(F.broadcast(totals), "kind").select("kind", "host", (F.col("n") / F.col("all")).alias("rank")), "seeds")
-    rank = start
-    for i in range(1, ROUNDS + 1):
+    rank = last = start
+    for i in count(1) if rounds is None else range(1, rounds + 1):
         moved = rank.join(flows, (F.col("kind") == F.col("way")) & (F.col("host") == F.col("src"))).select(
             "kind", F.col("dst").alias("host"), (F.lit(DAMPING) * F.col("rank") * F.col("share")).alias("rank")
         )
@@ -103,18 +116,25 @@ def propagate(seeds: DataFrame, edges: DataFrame) -> DataFrame:
         rank = moved.unionByName(kept).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if i % CUT == 0:
             rank = written(rank, "ranks")
+            if rounds is None and settled(last, rank):
+                break
+            last = rank
     score = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
     return rank.groupBy("host").agg(score("trust"), score("distrust"))
 
 
+def by_host(scores: DataFrame) -> DataFrame:
+    """host, by_host (allow or block) from host, trust, distrust."""
+    share = F.round(F.try_divide(F.col("distrust"), F.col("trust") + F.col("distrust")), PLACES)
+    return scores.select("host", F.when(share > THRESHOLD, "block").otherwise("allow").alias("by_host"))
+
+
 def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     """page_id, host, path, rule, verdict (allow or block)."""
     judged = written(judged_by_rules(pages, rules), "judged-pages")
-    count = lambda action: F.count(F.when(F.col("action") == action, 1))
-    seeds = judged.groupBy("host").agg(count("allow").alias("trusted"), count("block").alias("blocked"))
-    scores = propagate(seeds, host_edges(judged))
-    blocked = F.round("distrust", 9) > F.round(F.lit(THRESHOLD) * (F.col("trust") + F.col("distrust")), 9)
-    verdicts = scores.select("host", F.when(blocked, "block").otherwise("allow").alias("by_host"))
+    n_of = lambda action: F.count(F.when(F.col("action") == action, 1))
+    seeds = judged.groupBy("host").agg(n_of("allow").alias("trusted"), n_of("block").alias("blocked"))
+    verdicts = by_host(propagate(seeds, host_edges(judged), rounds=None))
     return judged.drop("links").join(verdicts, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("action", "by_host", F.lit("allow")).alias("verdict")
     )

@@ -326,6 +326,39 @@ def test_propagation_matches_plain_rounds(spark):
         assert (r.trust, r.distrust) == pytest.approx(tuple(want.get(r.host, (0.0, 0.0))))
 
 
+def test_far_hosts_are_reached(spark):
+    """A chain of links longer than the rounds between two looks, and than any fixed number of rounds here."""
+    rows = [(0, "http://h0.b/x", "")] + [(i, f"http://h{i}.b/x", f"<a href='//h{i - 1}.b/p'>x</a>") for i in range(1, 14)]
+    pages = spark.createDataFrame([*rows, (99, "http://good.a/x", "")], "page_id long, url string, html string")
+    got = {r.host: r.verdict for r in url_filter.judge(pages, [("h0.b", "/", "block"), ("good.a", "/", "allow")]).collect()}
+    assert got == {f"h{i}.b": "block" for i in range(14)} | {"good.a": "allow"}
+
+
+def test_ranks_settle_at_the_fixed_point(spark):
+    rnd = random.Random(4)
+    n = 12
+    share = np.zeros((n, n))
+    edges = [(f"h{a}", f"h{b}", float(rnd.randint(1, 4))) for a in range(n) for b in rnd.sample(range(n), 2) if a != b]
+    for a, b, w in edges:
+        share[int(b[1:]), int(a[1:])] += w
+    start = np.zeros(n)
+    start[:2] = 0.25, 0.75
+    got = url_filter.propagate(
+        spark.createDataFrame([("h0", 1, 0), ("h1", 3, 0)], "host string, trusted long, blocked long"),
+        spark.createDataFrame(edges, "src string, dst string, weight double"),
+        rounds=None,
+    ).collect()
+    share = share / np.maximum(share.sum(axis=0), 1e-9)
+    want = np.linalg.solve(np.eye(n) - url_filter.DAMPING * share, (1 - url_filter.DAMPING) * start)
+    assert {r.host: r.trust for r in got} == pytest.approx({f"h{i}": x for i, x in enumerate(want) if x > 0}, rel=1e-5)
+
+
+def test_verdicts_do_not_depend_on_the_number_of_seeds(spark):
+    ranks = [("a", 0.0, 1e-12), ("b", 1e-12, 2e-12), ("c", 2e-12, 1e-12), ("d", 1e-12, 1e-12), ("e", 0.2, 0.1 + 0.2), ("f", 0.1 + 0.2, 0.3), ("g", 0.0, 0.0)]
+    got = url_filter.by_host(spark.createDataFrame(ranks, "host string, trust double, distrust double")).collect()
+    assert {r.host for r in got if r.by_host == "block"} == {"a", "b", "e"} and len(got) == 7
+
+
 def test_sha_of_loss_is_of_plain_text(spark):
     from quarry.llm.queries import op9_chat_formatting
 
