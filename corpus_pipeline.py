@@ -8,12 +8,13 @@ Null texts have no language and go in the first stage; rows of null id are never
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate, jaccard, language, packing, substrings
 from quarry.llm.shared import table, written
 from quarry.llm.tokens import tokenizer_path
+from quarry.operators.util import dense_index
 
 #: Compression and tokenizers are beyond SQL; tests/llm compares with a brute-force version.
 ORACLE_SQL = None
@@ -25,10 +26,31 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.accepted(docs, language.fit(labelled))
 
 
+def one_id_a_text(docs: DataFrame) -> DataFrame:
+    """``docs`` and ``_node``: the id; where an id has several texts, its text of least hash keeps it and the others get unused ids."""
+    text = F.xxhash64("text").alias("_h")
+    ids = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("_id"), text)
+    several = ids.groupBy("_id").agg(F.min("_h").alias("_first"), F.max("_h").alias("_last")).where("_first <> _last")
+    others = written(ids.join(several, "_id").where("_h <> _first").select("_id", "_h").distinct(), "other-texts")
+    n = others.count()
+    named = docs.withColumn("_id", F.col("doc_id").cast("long"))
+    if not n:
+        return named.withColumnRenamed("_id", "_node")
+    least, most = ids.agg(F.min("_id"), F.max("_id")).first()
+    start = most + 1 if most + n < 2**63 else least - n
+    others = dense_index(others, [F.col("_id"), F.col("_h")], "_other", start)
+    joined = named.select("*", text).join(others, ["_id", "_h"], "left")
+    return joined.withColumn("_node", F.coalesce("_other", "_id")).drop("_id", "_h", "_other")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of documents that links connect: the one of smallest id."""
-    kept = jaccard.jaccard_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of documents that links connect: the one of smallest id. Unlike texts of one id are documents of
+    their own (see ``one_id_a_text``); of rows of one id and text the one of least hash stays."""
+    nodes, columns = one_id_a_text(docs), [F.col(f"`{c}`") for c in docs.columns]
+    joined = jaccard.jaccard_join(nodes.select(F.col("_node").alias("doc_id"), "text"))
+    kept = joined.where("doc_id = component_id").select(F.col("doc_id").alias("_node")).distinct()
+    rank = F.row_number().over(Window.partitionBy("_node").orderBy(F.xxhash64(*columns)))
+    named = nodes.join(kept, "_node", "left_semi").withColumn("_r", rank).where("_r = 1").select(*columns)
     return named.unionByName(docs.where("doc_id IS NULL"))
 
 

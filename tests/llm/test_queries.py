@@ -118,6 +118,17 @@ def test_pipeline_stage_by_stage(spark):
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == sorted(want)
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Unlike texts of one id do not go with each other's copies, and the same row of equal ones stays however they are dealt."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a), (1, b), (2, a), (3, b), (3, c), (5, d), (5, d), (None, a), (2**63 - 1, c)]
+    got = [
+        sorted(map(str, corpus_pipeline.near_duplicates(spark, frame(spark, rows, n), SMALL).collect())) for n in (1, 4)
+    ]
+    texts = sorted(r.split("text='")[1].split("'")[0] for r in got[0])
+    assert got[0] == got[1] and texts == sorted([a, a, b, c, d])
+
+
 def test_pipeline_stages_take_odd_rows(spark, odd, empty):
     for docs in (odd, empty):
         docs = written(docs, "odd")
