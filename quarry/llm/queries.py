@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, cotraining, decontaminate, jaccard, language, packing, simhash, substrings, token_files, url_filter
+from quarry.llm import centroids, chat, cotraining, decontaminate, hard_negatives, jaccard, language, packing, simhash, substrings, token_files, url_filter
 from quarry.llm.shared import table, written
 from quarry.llm.tokens import tokenizer_path
 
@@ -126,6 +126,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(table(spark, sf_dir, "embeddings"), changed)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0).drop("anchor_row", "positive_row")
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(centroids.prepared(table(spark, sf_dir, "embeddings")))
+    numbers = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.withColumn("centroid_sha256", F.sha2(numbers.cast("binary"), 256)).drop("centroid")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -137,6 +149,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_centroid_clustering": op12_centroid_clustering,
 }
 
 
@@ -188,7 +202,51 @@ FROM ruled r LEFT JOIN verdicts v ON v.host = r.host
 """
 
 
+def _op12_sql() -> str:
+    """The rounds written out; vectors and centroids have a row a component."""
+    rounds = []
+    for i in range(1, centroids.ROUNDS + 2):
+        rounds.append(f"""n{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, d * {centroids.K} + c) AS c, min(d) AS d FROM (
+    SELECT v.r, m.c, sum((v.x - m.x) * (v.x - m.x)) AS d FROM v JOIN m{i - 1} m ON m.i = v.i GROUP BY v.r, m.c) GROUP BY r),
+m{i} AS MATERIALIZED (
+  SELECT o.c, o.i, coalesce(x.x, o.x) AS x FROM m{i - 1} o LEFT JOIN (
+    SELECT n.c, v.i, CAST((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+    FROM n{i} n JOIN v ON v.r = n.r GROUP BY n.c, v.i) x ON x.c = o.c AND x.i = o.i)""")
+    last = centroids.ROUNDS
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {centroids.DIMS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {centroids.DIMS}),
+v AS MATERIALIZED (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
+m0 AS MATERIALIZED (
+  SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM (
+    SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id), v) - 1 AS c, v FROM e WHERE vec_id IS NOT NULL) WHERE c < {centroids.K}),
+{", ".join(rounds)}
+SELECT vec_id, CAST(n.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY n.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, h.h AS centroid_sha256
+FROM n{last + 1} n JOIN e ON e.r = n.r
+JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS h FROM m{last} GROUP BY c) h ON h.c = n.c
+"""
+
+
 ORACLE_SQL = {
+    "op11_hard_negatives": f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+s AS MATERIALIZED (
+  SELECT a.r AS a, a.vec_id AS anchor_id, e.r AS r, e.vec_id, e.label = a.label AS same, CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+  FROM e a JOIN e ON e.r <> a.r WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, r) <= {hard_negatives.POSITIVES}),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.a, p.r ORDER BY s.score DESC, s.vec_id, s.r) AS INTEGER) AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND {hard_negatives.LEAST} * p.score <= 100 * s.score AND 100 * s.score <= {hard_negatives.MOST} * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {hard_negatives.NEGATIVES}
+""",
+    "op12_centroid_clustering": _op12_sql(),
     "op10_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
