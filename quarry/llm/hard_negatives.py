@@ -35,7 +35,7 @@ from quarry.llm.vectors import exact, is_whole, matrix, scaled
 from quarry.operators.util import dense_index
 
 SCALE, POSITIVES, NEGATIVES, LEAST, MOST = 256, 5, 5, 80, 100
-BUCKET, BLOCK, GROWTH, FOCUS = 8192, 8192, 8, 3
+BUCKET, BLOCK, GROWTH, FOCUS = 4096, 8192, 8, 3
 MARGIN = 1e-9
 BUCKETS = "bucket long, longest long, ranks array<long>, ids array<long>, labels array<long>, v array<array<long>>, lists array<array<int>>"
 MINED = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long, anchor_row long, positive_row long"

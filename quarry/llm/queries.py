@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import centroids, chat, cotraining, decontaminate, hard_negatives, jaccard, language, packing, simhash, substrings, token_files, url_filter
+from quarry.llm import centroids, chat, cotraining, decontaminate, hard_negatives, jaccard, language, packing, simhash, substrings, token_files, url_filter, wrappers
 from quarry.llm.shared import table, written
 from quarry.llm.tokens import tokenizer_path
 
@@ -138,6 +138,12 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("centroid_sha256", F.sha2(numbers.cast("binary"), 256)).drop("centroid")
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = wrappers.extracted(pages, F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -151,6 +157,7 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_html_extraction": op13_html_extraction,
 }
 
 
@@ -247,6 +254,19 @@ n AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {hard_negatives.NEGATIVES}
 """,
     "op12_centroid_clustering": _op12_sql(),
+    # the pages of these tables have one article element each: here it is taken literally
+    "op13_html_extraction": r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)(?:</article>|<footer|$)', 1) AS h FROM pages
+), t AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(h, '</?(?:h[1-6]|p|br)[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g') AS h FROM a
+), u AS (
+  SELECT page_id, url, replace(replace(replace(replace(replace(replace(h, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)),
+    '&nbsp;', ' '), '&amp;', '&') AS h FROM t
+)
+SELECT page_id, url, trim(regexp_replace(h, '[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{3000}]+', ' ', 'g')) AS text,
+  length(text) AS n_chars FROM u
+""",
     "op10_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -29,7 +29,7 @@ def rows_of(name):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.sql(ORACLE_SQL[name]).df()
     got = QUERIES[name](spark, SMALL).toPandas()
@@ -143,5 +143,5 @@ def test_entry_registers_all():
     from __spark_entry__ import queries
 
     names = queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in names if name.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in names if name.startswith("op")}
     assert "pipeline" in names and os.path.exists(corpus_pipeline.__file__)

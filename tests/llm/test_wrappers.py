@@ -1,0 +1,157 @@
+"""Main text of pages: the reader, simple tree matching, and templates of hosts."""
+
+import itertools
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.llm import wrappers
+from quarry.llm.wrappers import aligned, counted, main_text, matching, merge, merged, tree_of
+
+SCHEMA = "page_id long, url string, html string, text string, host string, row string"
+
+
+def text_of(html):
+    return main_text(html)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (None, ""),
+        ("", ""),
+        ("plain  words\n here", "plain words here"),
+        ("<p>a<p>b &amp; c&lt;d&#33;&nbsp;e", "a b & c<d! e"),
+        ("<p>in<b>si</b>de <i>of</i>\n a <span>line</span><br>next", "inside of a line next"),
+        ("<body><nav>menu</nav><header>top</header><div>kept</div><footer>end</footer>", "kept"),
+        ("<div class='left'>x<article><header><h1>T</h1></header><p>one<div>two</div>three</article>y</div>", "T one two three"),
+        ("<main><h1>T</h1><p>one</p><aside>side</aside></main><div>other</div>", "T one"),
+        ("<article>a<!-- <p>no</p> --><script>var t='</p>';</script>b<style>p{}</style></article>", "a b"),
+        ("<article>open <p>to the end", "open to the end"),
+        ("<article><p>x</p><section class='comments'><article>remark</article></section></article>", "x"),
+        ("<article><p>x</p></article><div id='comments'><article class='comment'>remark long remark remark</article></div>", "x"),
+        ("<div class='cookie-banner'>we use</div><div class=\"ad\">buy</div><div id=sidebar>more</div><div>kept</div>", "kept"),
+        ("<div class='no-sidebar'>kept</div><div hidden>a</div><div style='display: none'>b</div><div role=navigation>c</div>", "kept"),
+        ("<form action=x><article>in a form</article><input name=q></form>", "in a form"),
+        ("<form><label>q</label><input></form><p>text</p>", "text"),
+        ("<article>a <span class='advert'>buy</span> b</article>", "a b"),
+        ("<ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></ul><p>A text with <a href=4>one link</a> in it.</p>", "A text with one link in it."),
+        ("<article><p>1 < 2 and 3 > 2</p><a title='x > y'>z</a></article>", "1 < 2 and 3 > 2 z"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a b c"),
+        ("</p></div>x</article>", "x"),
+        ("<article>x<p title=\"unclosed>y</p></article>", "x y"),
+        ("<article>x<a", "x"),
+    ],
+)
+def test_reader(html, text):
+    assert text_of(html) == text
+
+
+def test_long_and_deep_pages():
+    words = " ".join(f"w{i}" for i in range(200_000))
+    assert text_of(f"<article><p>{words}</p></article>") == words
+    assert text_of("<div>" * 20_000 + "deep" + "</div>" * 20_000 + "<p>after") == "deep after"
+    many = "".join(f"<div class='c{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x'>t{i}</div>" for i in range(5_000))
+    assert len(text_of(many).split()) == 5_000
+    assert text_of("<p>x" * 30_000).count("x") == 30_000
+
+
+def plain_matching(a, b):
+    """Simple tree matching by its recurrence."""
+    if a[0] != b[0]:
+        return 0
+    m, n = len(a[2]), len(b[2])
+    best = [[0] * (n + 1) for _ in range(m + 1)]
+    for i, j in itertools.product(range(m), range(n)):
+        best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + plain_matching(a[2][i], b[2][j]))
+    return best[m][n] + 1
+
+
+def random_tree(rnd, depth=3):
+    return [rnd.choice("abc"), 1, [random_tree(rnd, depth - 1) for _ in range(rnd.randrange(4))] if depth else []]
+
+
+def size(t):
+    return 1 + sum(map(size, t[2]))
+
+
+def test_simple_tree_matching():
+    rnd = random.Random(3)
+    for _ in range(300):
+        a, b = random_tree(rnd), random_tree(rnd)
+        b[0] = a[0]
+        n, pairs = matching(a, b)
+        assert n == plain_matching(a, b)
+        whole = merge(a, b, pairs)
+        assert size(whole) == size(a) + size(b) - n and plain_matching(whole, a) == size(a) and plain_matching(whole, b) == size(b)
+
+
+def test_alignment_numbers_nodes_in_page_order():
+    root, blocks, _ = wrappers.blocks_of("<div class=a>x</div><section><p>y<p>z</section>")
+    tree = tree_of(root, blocks)
+    other_root, other = wrappers.blocks_of("<h2>t</h2><div class=a>x</div><section><h3>u</h3><p>y</section>")[:2]
+    import json
+
+    other_tree = tree_of(other_root, other)
+    template = json.dumps(merge(counted(json.loads(tree), 1), counted(json.loads(other_tree), 1)))
+    where, there = aligned(template, tree), aligned(template, other_tree)
+    at = {b.text: where[b.node.number] for b in blocks}
+    assert at["x"] == {b.text: there[b.node.number] for b in other}["x"] and at["y"] == at["z"] == {b.text: there[b.node.number] for b in other}["y"]
+    assert len(set(where)) == len(where) and aligned(json.dumps(["", 1, []]), tree)[1:] == (-1,) * (len(where) - 1)
+
+
+def layout(host, i, paragraphs):
+    """A page without any telling name: only the host's other pages tell what is template."""
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    return f"<body><div class=q1>Welcome to {host}</div><div class=q2><h1>Title {host} {i}</h1>{body}<p>Write to the editor of {host}</p></div><div class=q3>All rights {host}</div>"
+
+
+def test_templates_of_hosts(spark):
+    rnd = random.Random(1)
+    rows, want = [], {}
+    for host, n in (("big.example", 300), ("small.example", 3), ("two.example", 2), ("one.example", 1)):
+        for i in range(n):
+            paragraphs = [" ".join(rnd.choice("abcdefgh") * 3 for _ in range(30)) + f" {host} {i}" for _ in range(1 + i % 4)]
+            if host == "big.example" and i % 2:
+                paragraphs.append("a line that half of the pages share")
+            rows.append((len(rows), f"http://{host}/{i}", layout(host, i, paragraphs), "t", "h", "r"))
+            whole = f"Title {host} {i} " + " ".join(paragraphs)
+            if n < 3:  # too few pages to tell
+                whole = f"Welcome to {host} {whole} Write to the editor of {host} All rights {host}"
+            want[rows[-1][0]] = whole
+    copy = layout("copies.example", 0, ["the very same text"])
+    for i in range(50):  # copies are one page
+        rows.append((len(rows), f"http://copies.example/{i}", copy, "t", "h", "r"))
+        want[rows[-1][0]] = "Welcome to copies.example Title copies.example 0 the very same text Write to the editor of copies.example All rights copies.example"
+    for url, html, text in ((None, "<p>no host", "no host"), ("http://x.example", None, ""), (None, None, ""), ("nothing", "", ""), ("http://big.example/1", rows[1][2], want[1])):
+        rows.append((len(rows), url, html, None, None, None))
+        want[rows[-1][0]] = text
+    pages = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = wrappers.extracted(pages, F.col("page_id"), F.col("url").alias("text"), F.col("row").alias("host"))
+    rows = got.select("row.page_id", "text").collect()
+    assert len(rows) == len(want) and {r.page_id: r.text for r in rows} == want
+    assert wrappers.extracted(pages.limit(0), F.col("page_id")).count() == 0
+
+
+def test_template_is_induced_from_all_pages_whatever_their_parts(spark, monkeypatch):
+    """Groups of two and of all trees of a host give the same texts."""
+    rnd = random.Random(7)
+    rows = []
+    for i in range(60):
+        extra = "".join(f"<div class={rnd.choice('xyz')}>{rnd.random()}</div>" for _ in range(rnd.randrange(4)))
+        rows.append((i, "http://h.example/", f"<div class=t>The name of the place</div>{extra}<div class=m><p>{rnd.random()}</div>", None, None, None))
+    pages = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    texts = []
+    for group in (2, 64):
+        monkeypatch.setattr(wrappers, "GROUP", group)
+        texts.append(sorted(map(tuple, wrappers.extracted(pages, F.col("page_id")).select("row.page_id", "text").collect())))
+    assert texts[0] == texts[1] and not any("name" in t for _, t in texts[0])
+
+
+def test_merged_trees_stay_small():
+    import pyarrow as pa
+
+    trees = [f'["",[["div",[]],["p.{a}{b}",[]]]]' for a in "abcdefgh" for b in "abcdefgh"]
+    out = merged(pa.table({"host": ["h"] * 64, "tree": trees, "pages": [1] * 64}))
+    assert out.column("tree").to_pylist() == ['["",64,[["div",64,[]]]]']
