@@ -109,7 +109,7 @@ def starts(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
     """The vectors whose ids have the smallest hashes."""
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     first = vectors.where("vec_id IS NOT NULL").orderBy(digest, "v").limit(k).collect()
-    return np.array([r.v for r in first], np.int64).reshape(len(first), -1)
+    return np.array([r.v for r in first], np.int64).reshape(len(first), len(first[0].v) if first else 0)
 
 
 def summed(vectors: DataFrame, tree, k: int, dims: int) -> dict[int, list[int]]:

@@ -261,8 +261,8 @@ WITH a AS (
 ), t AS (
   SELECT page_id, url, regexp_replace(regexp_replace(h, '</?(?:h[1-6]|p|br)[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g') AS h FROM a
 ), u AS (
-  SELECT page_id, url, replace(replace(replace(replace(replace(replace(h, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)),
-    '&nbsp;', ' '), '&amp;', '&') AS h FROM t
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '&lt;?', '<', 'g'),
+    '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#39;?', chr(39), 'g'), '&nbsp;?', ' ', 'g'), '&amp;?', '&', 'g') AS h FROM t
 )
 SELECT page_id, url, trim(regexp_replace(h, '[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{3000}]+', ' ', 'g')) AS text,
   length(text) AS n_chars FROM u

@@ -7,8 +7,8 @@
 3. Every page is aligned with its host's tree. A text that stands at the same node in at least ``SHARE`` of the host's pages, and in
    ``EVIDENCE`` at least, is template; all others fill varying slots. Pages of one content count once, so copies are no evidence.
 4. A page's text are the varying blocks of its article: those in ``article`` or ``main`` elements (the largest and others of a
-   quarter of its size) if there are any, else all that are left, without lists and blocks of links. A page of which most
-   would be template is a copy of others, not made of their template, and keeps its blocks; so does a page without host.
+   quarter of its size) if there are any, else all that are left, without lists and blocks of links. Where most of the text of
+   a host's pages would be template, they are near copies and keep all; so do a page that would keep nothing and one without host.
 
 Trees are counted per host, and texts per host and node, before they are shuffled; a host's merged tree and its template texts (each
 in most of its pages, so they are few) are joined to its pages, which the engine broadcasts or splits by size.
@@ -36,7 +36,8 @@ from quarry.llm.url_filter import host_of
 GROUP, RARE, SHARE, EVIDENCE = 64, 0.05, 0.8, 3
 PART = 0.25  # of the largest article
 LINKED = 0.6
-SKELETON = "host string, content long, tree string, nodes array<int>, texts array<long>"
+COPIES = 0.5  # template's share of the text of a host of copies
+SKELETON = "host string, content long, tree string, nodes array<int>, texts array<long>, sizes array<int>"
 #: a tree: [label, pages, [children]]
 Tree = list
 
@@ -147,7 +148,7 @@ def aligned(template: str, tree: str) -> tuple[int, ...]:
 
 
 def skeletons(pages: DataFrame) -> DataFrame:
-    """host, content (hash), tree, and the distinct (node, hash of text) of its blocks, for every page of a host."""
+    """host, content (hash), tree, and the distinct (node, hash and size of text) of its blocks, for every page of a host."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,13 +157,14 @@ def skeletons(pages: DataFrame) -> DataFrame:
                 for html in part.column("html").to_pylist():
                     root, blocks, _ = blocks_of(html)
                     tree = tree_of(root, blocks)
-                    seen = dict.fromkeys((b.node.number, text_hash(b.text)) for b in blocks)
+                    seen = dict.fromkeys((b.node.number, text_hash(b.text), len(b.text)) for b in blocks)
                     content = xxhash.xxh64_intdigest(tree + repr([text_hash(b.text) for b in blocks])) - (1 << 63)
-                    out.append((content, tree, [k[0] for k in seen], [k[1] for k in seen]))
-                contents, trees, nodes, texts = zip(*out, strict=True)
+                    out.append((content, tree, *([k[i] for k in seen] for i in range(3))))
+                contents, trees, nodes, texts, sizes = zip(*out, strict=True)
+                lists = ((nodes, pa.int32()), (texts, pa.int64()), (sizes, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("host"), pa.array(contents, pa.int64()), pa.array(trees, pa.string()), pa.array(nodes, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.int64()))],
-                    names=["host", "content", "tree", "nodes", "texts"],
+                    [part.column("host"), pa.array(contents, pa.int64()), pa.array(trees, pa.string()), *(pa.array(c, pa.list_(t)) for c, t in lists)],
+                    names=["host", "content", "tree", "nodes", "texts", "sizes"],
                 )
 
     hosted = pages.select(host_of(F.col("url")).alias("host"), "html").where("host <> '' AND html IS NOT NULL")
@@ -202,21 +204,31 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, nodes, texts = [], [], []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("host", "template", "tree", "nodes", "texts")), strict=True)
-            for host, template, tree, at, hashes in rows:
+            hosts: list[str] = []
+            found: list[tuple[int, int, int]] = []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("host", "template", "tree", "nodes", "texts", "sizes")), strict=True)
+            for host, template, tree, at, hashes, sizes in rows:
                 where = aligned(template, tree)
-                slots = {(where[n], h) for n, h in zip(at, hashes, strict=True) if where[n] >= 0}
+                slots = {(where[n], h, size) for n, h, size in zip(at, hashes, sizes, strict=True)}
                 hosts += [host] * len(slots)
-                nodes += [s[0] for s in slots]
-                texts += [s[1] for s in slots]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(nodes, pa.int32()), pa.array(texts, pa.int64())], names=["host", "node", "text"])
+                found += slots
+            nodes, texts, lengths = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(nodes, pa.int32()), pa.array(texts, pa.int64()), pa.array(lengths, pa.int64())],
+                names=["host", "node", "text", "size"],
+            )
 
     # only hosts with enough pages can have template texts
     enough = whole.where(F.col("pages") >= EVIDENCE).select("host", F.col("tree").alias("template"), "pages")
-    slots = found.join(enough.drop("pages"), "host").select("host", "template", "tree", "nodes", "texts").mapInArrow(align, "host string, node int, text long")
-    texts = slots.groupBy("host", "node", "text").agg(F.count(F.lit(1)).alias("n"))
-    common = texts.join(enough.select("host", "pages"), "host").where((F.col("n") >= EVIDENCE) & (F.col("n") >= SHARE * F.col("pages")))
+    slots = found.join(enough.drop("pages"), "host").select("host", "template", "tree", "nodes", "texts", "sizes")
+    slots = slots.mapInArrow(align, "host string, node int, text long, size long")
+    texts = slots.groupBy("host", "node", "text").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    texts = texts.join(enough.select("host", "pages"), "host")
+    common = (F.col("node") >= 0) & (F.col("n") >= EVIDENCE) & (F.col("n") >= SHARE * F.col("pages"))
+    texts = written(texts.withColumn("common", common), "texts")
+    chars = F.col("n") * F.col("size")
+    share = texts.groupBy("host").agg((F.sum(F.when(F.col("common"), chars).otherwise(0)) / F.sum(chars)).alias("share"))
+    common = texts.where("common").join(share.where((F.col("share") > 0) & (F.col("share") <= COPIES)), "host")
     lists = common.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "text"))).alias("slots"))
     constant = lists.select("host", F.col("slots.node").alias("nodes"), F.col("slots.text").alias("texts"))
     return written(enough.drop("pages").join(constant, "host"), "wrappers")
@@ -254,9 +266,7 @@ def main_text(html: str | None, template: str | None = None, constant: frozenset
     kept = of_article(blocks, regions)
     if template is not None and kept:
         where = aligned(template, tree_of(root, blocks))
-        varying = [b for b in kept if (where[b.node.number], text_hash(b.text)) not in constant]
-        if 2 * sum(len(b.text) for b in varying) >= sum(len(b.text) for b in kept):
-            kept = varying
+        kept = [b for b in kept if (where[b.node.number], text_hash(b.text)) not in constant] or kept
     return " ".join(b.text for b in kept)
 
 

@@ -75,7 +75,7 @@ def test_coordinate_pruning_leaves_rows_out(spark):
         found = bucket.candidates(unit[a], lengths[a], float(asked))
         assert set(np.flatnonzero(scores >= asked)) <= set(found.tolist())
         left += len(found)
-    assert left < 0.2 * 30 * 3000
+    assert left < 30 * 3000 / 3
 
 
 def test_hard_negatives_of_no_rows(spark, odd_vectors):
