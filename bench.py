@@ -39,6 +39,7 @@ from quarry.operators.index import build_index  # noqa: E402
 from quarry.operators.links import child_links, extract_links, parent_links  # noqa: E402
 from quarry.operators.report import page_blocks  # noqa: E402
 from quarry.operators.results import recent_distinct  # noqa: E402
+from quarry.operators.similar import similar_pages  # noqa: E402
 from quarry.operators.util import rebalance_small_input  # noqa: E402
 from quarry.plans.catalog import benchmark_queries, crawl_index  # noqa: E402
 from quarry.session import local_session  # noqa: E402
@@ -82,7 +83,7 @@ def main() -> None:
 
     timed("search_topk", lambda: run(srch.search(queries, index)))
     timed("explain_scores", lambda: run(srch.explain_scores(queries, index)))
-    timed("similar_pages", lambda: run(srch.search(lookup.keyword_query(index), index)))
+    timed("similar_pages", lambda: run(similar_pages(index)))
     timed("top_keywords", lambda: run(lookup.top_keywords(index)))
 
     def crawl_report():

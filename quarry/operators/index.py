@@ -17,6 +17,7 @@ Plan shape (one job per table, all declarative):
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -239,11 +240,6 @@ def dedupe_pages(pages: DataFrame, order_col: str = "page_id") -> DataFrame:
     )
 
 
-def term_bucket(term: Column, buckets: int) -> Column:
-    """Hash bucket of a term; the stored index is partitioned by it."""
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
-
-
 @dataclass
 class Index:
     """The materialisable index tables of one corpus."""
@@ -251,10 +247,12 @@ class Index:
     pages: DataFrame  # page_id, url, title, last_modified, size
     wide: DataFrame
     term_df: DataFrame
-    weights: DataFrame
-    term_buckets: int | None = None  # set when wide/weights are stored by term bucket
-    stored_norms: DataFrame | None = None  # (page_id, norm, max_tf) when materialised
-    stored_vocab: DataFrame | None = None  # (word_id, term, page_order, field_order, pos) when materialised
+    weights: DataFrame | None
+    wide_blocks: DataFrame | None = None  # directory of a stored ``wide``: (segment,) block, term, first_page, last_page
+    weight_blocks: DataFrame | None = None  # directory of stored ``weights``: block, term, most
+    stored_norms: DataFrame | None = None  # (page_id, norm, max_tf, body_maxtf, title_maxtf) when materialised
+    stored_vocab: DataFrame | None = None  # (word_id, term, ...) when materialised
+    stored_keywords: DataFrame | None = None  # (page_id, place, term, total) of each page's first keywords when materialised
     _page_range: tuple | None = field(default=None, repr=False)
 
     def word_order(self) -> DataFrame:
@@ -277,13 +275,33 @@ class Index:
         """``(page_id, norm, max_tf)`` per page with terms."""
         return self.stored_norms if self.stored_norms is not None else doc_norms(self.weights)
 
-    def term_keys(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
-        """Join keys against ``wide``/``weights``: (term_bucket, term) for a
-        stored index, so dynamic partition pruning reads only the buckets of
-        the requested terms; plain term otherwise."""
-        if self.term_buckets:
-            return df.withColumn("term_bucket", term_bucket(F.col("term"), self.term_buckets)), ["term_bucket", "term"]
-        return df, ["term"]
+    def term_keys(self, df: DataFrame, of: str = "wide", page: str | None = None) -> tuple[DataFrame, list[str]]:
+        """``df`` with its join keys against ``wide`` or ``weights`` (``of``).
+
+        For a stored index these are the blocks that hold a row's term, from the
+        block directory, and the term: the join then reads only these blocks
+        (dynamic partition pruning). A row gets one copy per block of its term;
+        with a ``page`` column, the one block that the page falls in (rows of
+        unknown terms stay, with a null block). Plain term otherwise."""
+        blocks = self.wide_blocks if of == "wide" else self.weight_blocks
+        if blocks is None:
+            return df, ["term"]
+        keys = [c for c in ("segment", "block") if c in blocks.columns]
+        own = blocks.withColumnsRenamed({c: f"_{c}" for c in blocks.columns})
+        on = F.col("term") == F.col("_term")
+        if page is not None:
+            on = on & F.col(page).between(F.col("_first_page"), F.col("_last_page"))
+            if "segment" in df.columns:
+                on = on & (F.col("segment") == F.col("_segment"))
+        joined = df.join(own, on, "inner" if page is None else "left")
+        new = [F.col(f"_{c}").alias(c) for c in keys if c not in df.columns]
+        return joined.select(*df.columns, *new), [*keys, "term"]
+
+    def hit_weights(self, asked: DataFrame, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Query keys (term, qweight, ...) with their postings' ``page_id, weight, nweight, norm``. ``hint`` says how their
+        side of the join with the postings is sent."""
+        keyed, keys = self.term_keys(asked, "weights")
+        return self.weights.select("page_id", *keys, "weight", "nweight", "norm").join(hint(keyed), keys)
 
     def postings(self, field: str | None = None) -> DataFrame:
         return postings(self.wide, field)
@@ -335,7 +353,7 @@ def merge_index(old: Index, new_pages: DataFrame, new_wide: DataFrame) -> tuple[
     union the new rows. ``new_pages`` carry their final page ids."""
     kept = old.pages.join(new_pages.select("url"), "url", "left_anti")
     pages = kept.unionByName(new_pages.select(*kept.columns))
-    cols = [c for c in new_wide.columns if c != "term_bucket"]
+    cols = [c for c in new_wide.columns if c not in ("segment", "block")]
     old_wide = old.wide.select(*cols)
     wide = old_wide.join(kept.select("page_id"), "page_id", "left_semi").unionByName(new_wide.select(*cols))
     return pages, wide

@@ -43,9 +43,11 @@ from quarry.operators.links import (
 )
 from quarry.operators.report import format_results, page_blocks
 from quarry.operators.results import enrich_results, paginate, recent_distinct
+from quarry.operators.similar import similar_pages
 from quarry.operators.util import rebalance_small_input
 from quarry.sources.corpus import documents_as_corpus, pages_as_corpus, read_pages, read_table
 from quarry.session import checkpoint_dir, cut_lineage
+from quarry.sources.segments import SegmentedIndex, read_segments, refresh_segments, write_segments
 from quarry.sources.stopwords import load_stopwords
 from quarry.sources.store import read_index, write_index
 
@@ -282,8 +284,7 @@ def q_explain_scores(spark, sf_dir):
 
 
 def q_similar_pages(spark, sf_dir):
-    index = documents_index(spark, sf_dir).index
-    hits = srch.search(lookup.keyword_query(index), index)
+    hits = similar_pages(documents_index(spark, sf_dir).index)
     return hits.select("query_id", "rank", "page_id", _round("score"))
 
 
@@ -292,7 +293,7 @@ def q_similar_to_pages(spark, sf_dir):
     index = documents_index(spark, sf_dir).index
     best = srch.search(benchmark_queries(spark, sf_dir), index).where("rank = 1")
     urls = best.join(index.pages.select("page_id", "url"), "page_id").select("url")
-    hits = srch.search(lookup.keyword_query(index, urls=cut_lineage(urls.distinct())), index)
+    hits = similar_pages(index, urls=cut_lineage(urls.distinct()))
     return hits.select("query_id", "rank", "page_id", _round("score"))
 
 
@@ -428,13 +429,53 @@ def q_merge_index(spark, sf_dir):
     again, every second of them re-dated and then with its title for a text, in
     an older and a newer version. Replaced pages lose their old postings."""
     d = documents_index(spark, sf_dir)
+    merged = refresh_index(d.index, _second_crawl(spark, sf_dir, d), lambda c: analyze(c, d.stops))
+    return _all_postings(merged.wide)
+
+
+def _all_postings(wide: DataFrame) -> DataFrame:
+    p = postings(wide)
+    return p.select("field", "term", "page_id", "tf", positions_csv(F.col("positions")).alias("positions"))
+
+
+def _second_crawl(spark, sf_dir, d: DocumentsIndex) -> DataFrame:
     again = d.corpus.withColumn("last_modified", F.when(F.pmod("page_id", F.lit(2)) == 0, "2024-02-02").otherwise(F.col("last_modified")))
     newer = again.withColumn("body", F.when(F.col("last_modified") != "", F.col("title")).otherwise(F.col("body")))
     older = again.withColumn("last_modified", F.when(F.col("last_modified") != "", "2024-01-01").otherwise(F.lit("")))
-    snapshot = pages_as_corpus(read_table(spark, sf_dir, "pages")).unionByName(newer).unionByName(older)
-    merged = refresh_index(d.index, snapshot, lambda c: analyze(c, d.stops))
-    p = postings(merged.wide)
-    return p.select("field", "term", "page_id", "tf", positions_csv(F.col("positions")).alias("positions"))
+    return pages_as_corpus(read_table(spark, sf_dir, "pages")).unionByName(newer).unionByName(older)
+
+
+def _refreshed(spark, sf_dir) -> SegmentedIndex:
+    """The refresh of ``merge_index`` as a second segment beside the documents' one, read back."""
+    d = documents_index(spark, sf_dir)
+    path = os.path.join(checkpoint_dir(spark), f"segments-{uuid.uuid4().hex}")
+    write_segments(d.index, path)
+    return read_segments(spark, path, refresh_segments(spark, path, _second_crawl(spark, sf_dir, d), d.stops))
+
+
+def q_merge_segments(spark, sf_dir):
+    return _all_postings(_refreshed(spark, sf_dir).wide)
+
+
+def q_search_segments(spark, sf_dir):
+    """Search over a refreshed index of two segments."""
+    return _search(_refreshed(spark, sf_dir), benchmark_queries(spark, sf_dir))
+
+
+def q_lookup_segments(spark, sf_dir):
+    """tf, positions, max tf and df of every (url, term) of a refreshed index, by look-up."""
+    index = _refreshed(spark, sf_dir)
+    asked = cut_lineage(index.wide.select("page_id", "term").join(index.pages.select("page_id", "url"), "page_id").select("url", "term"))
+    tf, pos = lookup.term_frequency(asked, index), lookup.term_positions(asked, index)
+    mx = lookup.page_max_tf(asked.select("url").distinct(), index).select("url", "body_maxtf")
+    df = lookup.term_df_lookup(asked, index).select("term", (F.col("body_df") + F.col("title_df")).alias("df"))
+    out = tf.join(pos, ["url", "term"]).join(mx, "url").join(df, "term")
+    return out.select("term", "url", "body_tf", "title_tf", positions_csv(F.col("body_positions")).alias("body_positions"), "body_maxtf", "df")
+
+
+def q_word_ids_refreshed(spark, sf_dir):
+    """Word ids after the refresh: those of the first index, and new ones for new words."""
+    return _refreshed(spark, sf_dir).stored_vocab.select("word_id", "term")
 
 
 def q_dedupe_pages(spark, sf_dir):
@@ -524,6 +565,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "child_links": q_child_links,
     "changed_pages": q_changed_pages,
     "merge_index": q_merge_index,
+    "merge_segments": q_merge_segments,
+    "search_segments": q_search_segments,
+    "lookup_segments": q_lookup_segments,
+    "word_ids_refreshed": q_word_ids_refreshed,
     "dedupe_pages": q_dedupe_pages,
     "term_df_lookup": q_term_df_lookup,
     "page_max_tf": q_page_max_tf,

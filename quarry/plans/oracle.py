@@ -386,7 +386,7 @@ l AS (SELECT page_id, base, unnest(hrefs) AS href, CAST(unnest(range(len(hrefs))
   UNION ALL SELECT url, last_modified FROM docs) s
 LEFT JOIN (SELECT url, {day.format("page_id")} AS lm FROM pu) st ON st.url = s.url
 WHERE st.url IS NULL OR st.lm IS DISTINCT FROM s.last_modified"""
-    q["merge_index"] = _with(
+    refreshed = (
         DOCS,
         f"""pgall AS (
   SELECT url, {_title('html')} AS title, {_body('html')} AS body, '' AS last_modified,
@@ -398,10 +398,20 @@ WHERE st.url IS NULL OR st.lm IS DISTINCT FROM s.last_modified"""
   SELECT (SELECT coalesce(max(page_id), -1) FROM docs) + row_number() OVER (ORDER BY url), url, title, body,
          last_modified, size, 0 FROM pgall WHERE url NOT IN (SELECT url FROM docs))""",
         index_ctes("m_", "mc"),
-    ) + """SELECT 'body' AS field, term, page_id, body_tf AS tf, array_to_string(body_positions, ',') AS positions
+    )
+    q["merge_index"] = q["merge_segments"] = _with(*refreshed) + """SELECT 'body' AS field, term, page_id, body_tf AS tf, array_to_string(body_positions, ',') AS positions
 FROM m_wide WHERE body_tf > 0
 UNION ALL
 SELECT 'title', term, page_id, title_tf, array_to_string(title_positions, ',') FROM m_wide WHERE title_tf > 0"""
+    q["search_segments"] = _with(*refreshed, BENCH_QUERIES, search_ctes("m_", "bq")) + f"""SELECT t.query_id, t.rank, t.page_id, c.url, {_round('t.score')}
+FROM m_top t JOIN mc c ON c.page_id = t.page_id"""
+    q["lookup_segments"] = _with(*refreshed) + """SELECT w.term, c.url, w.body_tf, w.title_tf, array_to_string(w.body_positions, ',') AS body_positions,
+  CAST(m.body_maxtf AS BIGINT) AS body_maxtf, CAST(t.body_df + t.title_df AS BIGINT) AS df
+FROM m_wide w JOIN mc c ON c.page_id = w.page_id JOIN m_mx m ON m.page_id = w.page_id JOIN m_tdf t ON t.term = w.term"""
+    q["word_ids_refreshed"] = _with(*refreshed, index_ctes("d_", "docs")) + """SELECT CAST(word_id AS BIGINT) AS word_id, term FROM d_vocab
+UNION ALL
+SELECT (SELECT coalesce(max(word_id), 0) FROM d_vocab) + row_number() OVER (ORDER BY k, term), term FROM (
+  SELECT term, min([page_id, field_order, pos]) AS k FROM m_kt WHERE term NOT IN (SELECT term FROM d_vocab) GROUP BY term)"""
     q["dedupe_pages"] = _with(DOCS) + """SELECT page_id, url, size FROM (
   SELECT page_id, url, size, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM (
     SELECT CAST(page_id AS BIGINT) AS page_id, url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages

@@ -1,64 +1,38 @@
 """Incremental index refresh with Structured Streaming.
 
 New page snapshots (Parquet files: page_id?, url, html, last_modified?)
-arriving in a folder are picked up as a stream; each micro-batch runs
-``changed_pages`` + ``merge_index`` through ``foreachBatch`` and writes a
-new index version. Unchanged pages are skipped (same last_modified), so a
-re-crawl of an unchanged site costs one anti-join, not a re-index. The
+arriving in a folder are picked up as a stream; each micro-batch adds a segment
+with its new and changed pages to a segmented index (``sources/segments.py``)
+through ``foreachBatch``. Unchanged pages are skipped (same last_modified), so a
+re-crawl of an unchanged site costs one anti-join and writes nothing. The
 stream's progress lives in the shared checkpoint folder, so a restarted job
-resumes where it stopped.
+resumes where it stopped; a batch that is tried again starts from the state
+before it and overwrites its own.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.operators.analyze import analyze
-from quarry.operators.index import latest_per_url, refresh_index
-from quarry.operators.links import changed_pages
 from quarry.session import progress_dir
 from quarry.sources.corpus import pages_as_corpus
+from quarry.sources.segments import refresh_segments
 from quarry.sources.stopwords import load_stopwords
-from quarry.sources.store import read_index, write_index
 
 SNAPSHOT_SCHEMA = "page_id long, url string, html string, last_modified string"
 
 
-def latest_version(spark: SparkSession, index_root: str, before: int | None = None) -> str:
-    """Path of the newest ``version=N`` index under ``index_root`` (listed
-    through Spark, so any shared file system works), optionally with
-    ``N < before``."""
-    metas = spark.read.json(os.path.join(index_root, "version=*", "meta")).select(F.input_file_name().alias("f"))
-    version = F.regexp_extract("f", r"version=(\d+)", 1).cast("long")
-    if before is not None:
-        metas = metas.where(version < before)
-    newest = metas.select(F.max(version)).first()[0]
-    return os.path.join(index_root, f"version={newest}")
-
-
 def refresh_batch(spark: SparkSession, batch: DataFrame, index_root: str, epoch: int) -> None:
-    """Merge one batch of page snapshots into the newest index version."""
-    if batch.isEmpty():
-        return
-    # batch e reads the newest version below e + 1 and writes e + 1: a retried
-    # batch (at-least-once) starts from the same base and overwrites its output
-    old = read_index(spark, latest_version(spark, index_root, before=epoch + 1))
-    stops = load_stopwords(spark)
-    snapshot = pages_as_corpus(batch)
-    if changed_pages(latest_per_url(snapshot), old.pages).isEmpty():
-        return  # a re-crawl of unchanged pages writes nothing
-    new = refresh_index(old, snapshot, lambda c: analyze(c, stops))
-    write_index(new, os.path.join(index_root, f"version={epoch + 1}"), buckets=old.term_buckets)
+    """Add one batch of page snapshots to the segmented index."""
+    if not batch.isEmpty():
+        refresh_segments(spark, index_root, pages_as_corpus(batch), load_stopwords(spark), epoch)
 
 
 def start_refresh_stream(
     spark: SparkSession, source_dir: str, index_root: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Watch ``source_dir`` for snapshot files; ``index_root/version=0`` must hold the base index."""
+    """Watch ``source_dir`` for snapshot files; ``index_root`` must hold a segmented index (``write_segments``)."""
     stream = spark.readStream.schema(SNAPSHOT_SCHEMA).parquet(source_dir)
     writer = stream.writeStream.foreachBatch(lambda b, e: refresh_batch(spark, b, index_root, e)).option(
         "checkpointLocation", progress_dir(spark, "refresh-stream", index_root)

@@ -36,14 +36,14 @@ def test_no_cross_join_and_no_row_udf(spark, name):
 def stored(spark):
     corpus = documents_as_corpus(read_table(spark, SF0001, "documents"))
     path = os.path.join(tempfile.mkdtemp(prefix="quarry-plan-"), "index")
-    write_index(build_index(analyze(corpus, load_stopwords(spark)), corpus), path, buckets=8)
+    write_index(build_index(analyze(corpus, load_stopwords(spark)), corpus), path, block_rows=300)
     return read_index(spark, path)
 
 
 def test_search_plan_on_stored_index(spark, stored):
     p = plan(srch.search(benchmark_queries(spark, SF0001), stored))
-    # query terms prune the term buckets of the stored index at run time
-    assert "dynamicpruningexpression(term_bucket" in p
+    # query terms prune the blocks of the stored index at run time
+    assert "dynamicpruningexpression(block" in p
     # the query side is broadcast, the index side is streamed
     assert "BroadcastHashJoin" in p
     # per-partition top-k runs before the shuffle of the window

@@ -10,8 +10,8 @@ from quarry.operators.analyze import analyze
 from quarry.operators.index import build_index, postings, refresh_index
 from quarry.sources.corpus import pages_as_corpus, read_table
 from quarry.sources.stopwords import load_stopwords
-from quarry.sources.store import read_index, write_index
-from quarry.streaming.refresh import latest_version, start_refresh_stream
+from quarry.sources.segments import latest_state as latest_segments, read_segments, write_segments
+from quarry.streaming.refresh import refresh_batch, start_refresh_stream
 
 
 def _by_url(index):
@@ -45,16 +45,16 @@ def test_streaming_refresh(spark):
     root = tempfile.mkdtemp(prefix="quarry-refresh-")
     src = os.path.join(root, "incoming")
     base_corpus = pages_as_corpus(raw.where(F.col("page_id") < 30))
-    write_index(build_index(analyze(base_corpus, stops), base_corpus), os.path.join(root, "index", "version=0"), buckets=8)
+    write_segments(build_index(analyze(base_corpus, stops), base_corpus), os.path.join(root, "index"), block_rows=500)
     raw.where(F.col("page_id") >= 10).select(
         "page_id", "url", "html", F.lit("").alias("last_modified")
     ).write.parquet(src)
     q = start_refresh_stream(spark, src, os.path.join(root, "index"))
     q.awaitTermination(300)
     assert q.exception() is None
-    newest = latest_version(spark, os.path.join(root, "index"))
-    assert newest.endswith("version=1")
-    idx = read_index(spark, newest)
+    newest = latest_segments(spark, os.path.join(root, "index"))
+    assert newest == 1
+    idx = read_segments(spark, os.path.join(root, "index"), newest)
     assert idx.pages.count() == 50
     full = pages_as_corpus(raw)
     assert _by_url(idx) == _by_url(build_index(analyze(full, stops), full))
@@ -103,13 +103,19 @@ def test_retried_batch_starts_from_the_same_base(spark):
 
 
 def test_unchanged_snapshot_writes_no_version(spark):
-    from quarry.streaming.refresh import refresh_batch
-
     stops = load_stopwords(spark)
     raw = read_table(spark, SF0001, "pages")
     root = os.path.join(tempfile.mkdtemp(prefix="quarry-nochange-"), "index")
     corpus = pages_as_corpus(raw)
-    write_index(build_index(analyze(corpus, stops), corpus), os.path.join(root, "version=0"), buckets=4)
+    write_segments(build_index(analyze(corpus, stops), corpus), root, block_rows=500)
     same = raw.select("page_id", "url", "html", F.lit("").alias("last_modified"))
     refresh_batch(spark, same, root, 0)
-    assert latest_version(spark, root).endswith("version=0")
+    assert latest_segments(spark, root) == 0
+    # a batch tried again starts from the same base and overwrites its own state
+    dated = raw.where("page_id < 5").select("page_id", "url", "html", F.lit("2024-05-05").alias("last_modified"))
+    for _ in range(2):
+        refresh_batch(spark, dated, root, 1)
+        assert latest_segments(spark, root) == 1
+    refresh_batch(spark, dated.withColumn("last_modified", F.lit("2024-06-06")), root, 2)
+    assert latest_segments(spark, root) == 2
+    assert _by_url(read_segments(spark, root, 2)) == _by_url(build_index(analyze(corpus, stops), corpus))
