@@ -6,7 +6,10 @@ space and the white space after it; between Latin letters and the ``.,;:!?`` bef
 end that follows a word and the letters after it.
 
 The library encodes every piece a worker has not met lately, many at once: usual ones in a row, parted again by the bytes
-that the ids stand for, and unusual ones parted by a special token. ``tests/llm`` compares with encoding whole texts.
+that the ids stand for, and unusual ones parted by a special token. The memo has two generations: when the newer one is full it
+becomes the older one, and what is used again moves up, so that usual pieces are not learned anew. A text that spells
+a special token is encoded whole, and gets the token's id there, as from the file's tokenizer as it is. ``tests/llm``
+compares with encoding whole texts.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ PIECES = re.compile(
 #: Pieces of which the tokenizers keep every byte, but for letter case.
 USUAL = re.compile(r"[ \n]?([!-~À-ÖØ-öø-ÿ]+)")
 WORD_END = "</w>"
-#: Pieces that a worker keeps; it starts afresh beyond that.
-MEMO_PIECES, MEMO_CHARS = 250_000, 8_000_000
+#: Pieces that each generation of a worker's memo keeps, and their letters.
+MEMO_PIECES, MEMO_CHARS = 400_000, 12_000_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -54,6 +57,7 @@ class Encoder:
         for t, i in vocab.items():
             self.bytes_of[i] = len(t) - len(WORD_END) * t.endswith(WORD_END)
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.chars = 0
 
     def _marked(self, pieces: list[str]) -> list[bytes]:
@@ -94,14 +98,27 @@ class Encoder:
             for i in range(0, len(todo), 1_000):
                 self.memo.update(zip(todo[i : i + 1_000], encode(todo[i : i + 1_000]), strict=True))
 
+    def _whole(self, text: str) -> bytes:
+        """Ids of a text with its special tokens."""
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        pieces = [PIECES.findall(t) for t in texts]
+        special = {i for i, t in enumerate(texts) if "<" in t and any(x in t for x in self.special)}
+        pieces = [[] if i in special else PIECES.findall(t) for i, t in enumerate(texts)]
         if len(self.memo) > MEMO_PIECES or self.chars > MEMO_CHARS:
-            self.memo, self.chars = {}, 0
-        self._learn(list(set().union(*pieces).difference(self.memo)))
+            self.older, self.memo, self.chars = self.memo, {}, 0
+        new = set().union(*pieces).difference(self.memo)
+        again = new.intersection(self.older)
+        self.memo.update((p, self.older[p]) for p in again)
+        self.chars += sum(map(len, again))
+        self._learn(list(new.difference(again)))
         get = self.memo.__getitem__
-        return [b"".join(map(get, p)) for p in pieces]
+        return [self._whole(texts[i]) if i in special else b"".join(map(get, p)) for i, p in enumerate(pieces)]
 
 
 @lru_cache(maxsize=2)

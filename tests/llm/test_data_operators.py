@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from quarry.llm import chat, cotraining, language, packing, token_files, url_filter
 from quarry.llm.store import store
@@ -132,10 +133,15 @@ def test_pieces_encode_as_whole_texts(name):
     letters = "ab1!' \n\t\u0301\u00e9\x1c\x85\u3000s'l<|>\u180e.,;Aßİ"
     texts = ["", " ", "  \n", "\n\nA  ", "<|endoftext|> x<|startoftext|>", "na\u00efve caf\u00e9, the end.", "it's I'll THE Ünder-way...", "x" * 5000]
     texts += ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 30))) for _ in range(3000)]
+    texts += ["".join(rnd.choice(["<|endoftext|>", "<|", "|>", "<|startoftext|>", "the ", " end", "\n", "é"]) for _ in range(8)) for _ in range(300)]
     texts += [" ".join(rnd.choice(["the", "Of,", "naïve.", "\nLine", "(x)", "12", "don't"]) for _ in range(50)) for _ in range(50)]
-    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    own = Tokenizer.from_file(tokenizer_path(name))  # as the file has it
+    want = [np.array(e.ids, "<u4").tobytes() for e in own.encode_batch(texts, add_special_tokens=False)]
     assert encoder.encode(texts) == want
-    encoder.chars = 10**12  # a memo over its bound starts afresh
+    known = len(encoder.memo)
+    for _ in range(3):
+        encoder.chars = 10**12  # a full generation of the memo becomes the older one, and its pieces move up when used
+        assert encoder.encode(texts[:900]) == want[:900] and len(encoder.older) <= known
     assert encoder.encode(texts) == want
 
 
@@ -158,7 +164,7 @@ def test_packing(odd, odd_rows, capacity):
     name = tokenizer_path("word_bpe_49k.json")
     rows = packing.pack_documents(odd, name, 1, capacity).collect()
     got = sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows), key=repr)
-    assert got == sorted(brute.pieces(Encoder(name).tokenizer, odd_rows, 1, capacity), key=repr)
+    assert got == sorted(brute.pieces(Tokenizer.from_file(name), odd_rows, 1, capacity), key=repr)
     total = sum(r.length for r in rows)
     assert packed_well(rows, capacity) <= -(-total // capacity) * 1.2 + 1
 
@@ -199,7 +205,7 @@ def test_token_files(spark, odd, odd_rows):
     manifest = token_files.write_token_files(odd, name, 2)
     rows = token_files.read_token_files(spark, manifest).orderBy("start").collect()
     ordered = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
-    tokenizer, at = Encoder(name).tokenizer, 0
+    tokenizer, at = Tokenizer.from_file(name), 0
     for row, (doc_id, text) in zip(rows, ordered, strict=True):
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
         assert (row.doc_id, row.start, bytes(row.ids)) == (doc_id, at, ids.tobytes())

@@ -6,13 +6,14 @@ import os
 import duckdb
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quarry.llm import language
 from quarry.llm.queries import ORACLE_SQL, QUERIES
 from quarry.llm.shared import written
-from quarry.llm.tokens import Encoder, tokenizer_path
+from quarry.llm.tokens import tokenizer_path
 
 from . import brute
 from .conftest import frame
@@ -75,11 +76,11 @@ def test_quality_and_language_queries_cover_all(spark):
 def test_packing_and_token_queries(spark):
     docs = rows_of("documents").sort_values("doc_id")[["doc_id", "text"]].values.tolist()
     rows = QUERIES["op7_best_fit_packing"](spark, SMALL).collect()
-    want = brute.pieces(Encoder(tokenizer_path("word_bpe_49k.json")).tokenizer, docs, 1, 4096)
+    want = brute.pieces(Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")), docs, 1, 4096)
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(want)
     packed_well(rows, 4096)
     rows = QUERIES["op8_token_files"](spark, SMALL).collect()
-    want = brute.pieces(Encoder(tokenizer_path("byte_bpe_50k.json")).tokenizer, docs, 2, 1 << 60)
+    want = brute.pieces(Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")), docs, 2, 1 << 60)
     starts = np.cumsum([0, *[w[3] for w in want]])[:-1].tolist()
     assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rows) == [(w[0], s, w[3], w[4]) for w, s in zip(want, starts, strict=True)]
 
@@ -114,7 +115,7 @@ def test_pipeline_stage_by_stage(spark):
         assert sorted((r.doc_id, r.text) for r in got) == want, name
         assert all(r.n_chars == len(r.text) for r in got)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
-    want = brute.pieces(Encoder(tokenizer_path("word_bpe_49k.json")).tokenizer, [(r.doc_id, r.text) for r in docs.collect()], 1, 4096)
+    want = brute.pieces(Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")), [(r.doc_id, r.text) for r in docs.collect()], 1, 4096)
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == sorted(want)
 
 
