@@ -1,6 +1,6 @@
 """Documents in blocks of consecutive ids, hashed word by word, and a sharded exchange of their keys.
 
-A block is a run of consecutive ``doc_id`` of about ``BLOCK_BYTES`` of text: what one task handles as arrays. Blocks ask each other
+A block is a run of consecutive ``doc_id`` of at most ``BLOCK_BYTES`` of text, or one id: what one task handles as arrays. Blocks ask each other
 about keys (64-bit hashes) by way of buckets: every block sends its *distinct* keys of a bucket as one sorted array, and
 the bucket's task answers each block. However many rows share a key, a bucket sees it at most once a block, so a hot key
 is no hot task. Rows of one and the same id (or of null id, the last block) stay together.
@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.shared import written
+
 BLOCK_BYTES = 4 << 20
 #: Letters that are hashed at a time.
 LETTERS = 1 << 19
@@ -29,12 +31,9 @@ M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """(row: struct of all columns but the text, doc_id, text, block) and the number of blocks."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    cuts: list[int] = []
-    if n > 1:
-        found = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / n for i in range(1, n)], 20 * n)).first()[0]
-        cuts = sorted(set(found or []))
+    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    cuts = byte_cuts(written(sizes.where("doc_id IS NOT NULL"), "sizes"), block_bytes) if total > block_bytes else []
     block = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(cuts_below(F.col("doc_id"), cuts)) if cuts else F.lit(0)
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
@@ -44,6 +43,35 @@ def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFram
     ), len(cuts) + 1
 
 
+def byte_cuts(sizes: DataFrame, block_bytes: int) -> list[int]:
+    """Ids after which a new block begins, so that a block holds ``block_bytes`` at most, or a single id.
+
+    Ids are cut by rank first, and what holds too many bytes is cut again, 16-fold, until nothing does; then neighbours that
+    fit together are one block. A few numbers a block reach the driver."""
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    n = 4 * -(-total // block_bytes)
+    found = sizes.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 5 * n)).first()[0] if n > 1 else []
+    cuts = sorted(set(found or []))
+    while True:
+        run = cuts_below(F.col("doc_id"), cuts) if cuts else F.lit(0)
+        held = sizes.withColumn("run", run.cast("int")).groupBy("run")
+        held = held.agg(F.sum("bytes").alias("bytes"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
+                        F.percentile_approx("doc_id", [i / 16 for i in range(1, 16)], 200).alias("parts")).orderBy("run").collect()
+        heavy = [r for r in held if r["bytes"] > block_bytes and r["first"] < r["last"]]
+        # a run's last id is no cut of its own; the id before it always is one, so that every round parts a heavy run
+        finer = {c for r in heavy for c in [*r["parts"], r["first"]] if c < r["last"]}.difference(cuts)
+        if not finer:
+            break
+        cuts = sorted(finer.union(cuts))
+    kept, size = [], 0
+    for before, r in zip([None, *held], held, strict=False):
+        if before is not None and size + r["bytes"] > block_bytes:
+            kept.append(before["last"])
+            size = 0
+        size += r["bytes"]
+    return kept
+
+
 def cuts_below(value: Column, cuts: list[int]) -> Column:
     """How many of the sorted ``cuts`` are less than ``value``: first among every g-th, then among the g after it."""
     g = math.isqrt(len(cuts)) + 1

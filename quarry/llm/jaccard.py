@@ -245,7 +245,9 @@ def keys_of(column: str) -> Column:
 
 
 def linked(prefixes: DataFrame, sets_of: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) that connect documents as all links would, from (doc, prefix) and (doc, shingles), no two sets being equal."""
+    """Edges (a, b) that connect documents as all links would, from (doc, prefix) and (doc, shingles), no two sets being equal.
+
+    They are written: a task that searches and contracts edges at once would hold two Python workers."""
     prefix = prefixes.select("doc", F.explode(keys_of("prefix")).alias("key"))
     leader = prefix.groupBy("key").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     cluster = components(prefix.join(leader, "key").where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b")))
@@ -257,7 +259,7 @@ def linked(prefixes: DataFrame, sets_of: DataFrame, percent: int = PERCENT) -> D
     members = sets_of.join(placed, "doc").select("doc", "shingles", "cluster", "chunk", F.lit(True).alias("mine"), F.lit(None).cast("long").alias("known"))
     large = placed.where("chunks > 1")
     if not large.limit(1).count():
-        return search(members, ["cluster", "chunk"], percent)
+        return written(search(members, ["cluster", "chunk"], percent), "links")
     # a few documents of each large cluster go to all of its chunks
     least = [F.min_by("doc", F.xxhash64(F.lit(i), "doc")) for i in range(PIVOTS)]
     pivots = large.groupBy("cluster", "chunks").agg(F.array_distinct(F.array(*least)).alias("docs"))
@@ -276,7 +278,7 @@ def linked(prefixes: DataFrame, sets_of: DataFrame, percent: int = PERCENT) -> D
     asked = sets_of.join(rest, "doc").select("doc", "shingles", "cluster", everywhere, "part", F.lit(True).alias("mine"), "known")
     parts = rest.select("cluster", "part").distinct()
     others = sets_of.join(labelled.join(parts, "cluster"), "doc").select("doc", "shingles", "cluster", "chunk", "part", F.lit(False).alias("mine"), "known")
-    return links.unionByName(search(asked.unionByName(others), ["cluster", "chunk", "part"], percent))
+    return links.unionByName(written(search(asked.unionByName(others), ["cluster", "chunk", "part"], percent), "links"))
 
 
 def jaccard_join(docs: DataFrame, k: int = K, percent: int = PERCENT, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:

@@ -199,3 +199,20 @@ def test_fingerprints_of_nothing(empty):
     docs = empty.select("doc_id", "text")
     assert simhash.neighbours(docs).count() == 0
     assert simhash.fingerprints(docs, ["doc_id"]).count() == 0
+
+
+def test_blocks_hold_so_many_bytes(spark):
+    """Long texts beside short ones, all at one end or spread, repeated ids: no block of several ids holds more than asked."""
+    rnd = random.Random(4)
+    rows = [(i, "x" * 60_000) for i in range(40)] + [(1000 + i, "y" * rnd.randrange(300)) for i in range(3000)]
+    rows += [(5000, "z" * 50_000)] * 5 + [(9000 + 3 * i, "w" * (20_000 if i % 7 == 0 else 10)) for i in range(700)] + [(None, "n")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    placed, n = blocks.in_blocks(docs, 100_000)
+    held = {}
+    for r in placed.select("block", "doc_id", "text").collect():
+        size, ids = held.setdefault(r.block, [0, set()])
+        held[r.block] = [size + len(r.text), ids | {r.doc_id}]
+    assert max(held) + 1 <= n and all(size <= 100_000 or len(ids) == 1 for size, ids in held.values())
+    assert len(held) < 4 * sum(len(t) for _, t in rows) / 100_000
+    order = sorted((min(ids), max(ids)) for b, (_, ids) in held.items() if None not in ids)
+    assert all(a[1] < b[0] for a, b in zip(order, order[1:], strict=False))
