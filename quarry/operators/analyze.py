@@ -21,6 +21,7 @@ from quarry.functions.text import lower_tokens, tokenize
 from quarry.operators.util import bounded_broadcast
 
 FIELDS = ("body", "title")
+SLICE_TOKENS = 1_000_000  # grouped at a time
 POSTINGS = (
     "page_id long, term string, body_tf long, title_tf long, body_positions array<int>, title_positions array<int>"
 )
@@ -54,20 +55,41 @@ def page_postings(corpus: DataFrame, stopwords: DataFrame | None = None, stem: b
 
     All tokens of a page sit in its row, so the Arrow step that stems them
     also groups them: no token is ever a row of its own, and nothing is
-    shuffled. Stop stems are left out of the grouped rows. Page ids are unique."""
+    shuffled. Stop stems are left out of the grouped rows. Rows of one page id
+    are parts of one page: their postings are merged, as in ``wide_postings``
+    (their ids are looked for first, in a scan of that column alone; the
+    postings of all other pages are not shuffled)."""
     arrays = corpus.select("page_id", *[lower_tokens(tokenize(F.col(f))).alias(f) for f in FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield group_terms(batch, stem)
+            yield from (group_terms(part, stem) for part in token_slices(batch))
 
     wide = arrays.mapInArrow(run, POSTINGS)
+    repeated = corpus.groupBy("page_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("page_id")
+    if not repeated.isEmpty():
+        joined = lambda c: F.array_sort(F.flatten(F.collect_list(c))).alias(c)
+        parts = wide.join(repeated, "page_id", "left_semi").groupBy("page_id", "term")
+        merged = parts.agg(F.sum("body_tf").alias("body_tf"), F.sum("title_tf").alias("title_tf"), joined("body_positions"), joined("title_positions"))
+        wide = wide.join(repeated, "page_id", "left_anti").select(*wide.columns).unionByName(merged)
     if stopwords is None:
         return wide
     stops = bounded_broadcast(stopwords.select("term").distinct(), max_rows=100_000)
     return wide.join(stops, "term", "left_anti").select(*wide.columns)
 
 
+def token_slices(batch: pa.RecordBatch, tokens: int = SLICE_TOKENS) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of whole pages of about so many tokens (one longer page stays whole)."""
+    lengths = sum(pc.fill_null(pc.list_value_length(batch.column(f)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for f in FIELDS)
+    upto = np.cumsum(lengths)
+    start = 0
+    while start < batch.num_rows:
+        done = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, done + tokens, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def group_terms(batch: pa.RecordBatch, stem: bool) -> pa.RecordBatch:
     """Postings of a batch of (page_id, body, title) token arrays."""
     owners, positions, fields, flats = [], [], [], []

@@ -73,7 +73,7 @@ def documents_index(spark: SparkSession, sf_dir: str) -> DocumentsIndex:
 @dataclass
 class CrawlIndex:
     snapshot: DataFrame  # page_id, url, html, last_modified, size
-    tree: DataFrame  # page_id, depth, path, parent_id, visit_order
+    tree: DataFrame  # page_id, depth, parent_id, visit_order
     corpus: DataFrame  # crawled pages only, with page_order = visit order
     index: Index
 

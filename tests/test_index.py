@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from quarry.operators import lookup
 from quarry.operators.analyze import analyze
-from quarry.operators.index import assign_word_ids, build_index, max_tf, postings
+from quarry.operators.index import assign_word_ids, build_index, max_tf, postings, wide_postings
 from quarry.operators.links import changed_pages
 from quarry.operators.results import recent_distinct
 from quarry.sources.corpus import documents_as_corpus, read_table
@@ -134,3 +134,32 @@ def test_page_postings_equal_the_token_aggregate(spark):
         assert got.count() == len(plain(got))
         assert plain(got) == plain(wide_postings(analyze(corpus, stops, stem)))
     assert page_postings(corpus.limit(0), None).count() == 0
+
+
+def test_rows_of_one_page_id_are_parts_of_one_page(spark):
+    """Postings of repeated page ids are merged on both paths, however the rows are sliced."""
+    from quarry.operators import analyze as a
+
+    rows = [(1, "apple pear apple", "pear"), (2, "plum", "plum"), (1, "pear fig", "apple"), (3, None, ""), (3, "fig " * 50, None)]
+    corpus = spark.createDataFrame(rows, "page_id long, body string, title string").repartition(2)
+    key = lambda r: (r.page_id, r.term)
+    got = sorted(a.page_postings(corpus, None).collect(), key=key)
+    want = sorted(wide_postings(analyze(corpus, None)).collect(), key=key)
+    cols = ("page_id", "term", "body_tf", "title_tf")
+    assert [[r[c] for c in cols] for r in got] == [[r[c] for c in cols] for r in want]
+    assert all(sorted(g[c]) == sorted(w[c]) for g, w in zip(got, want, strict=True) for c in ("body_positions", "title_positions"))
+    assert len({key(r) for r in got}) == len(got)
+
+
+def test_token_slices():
+    import pyarrow as pa
+
+    from quarry.operators.analyze import group_terms, token_slices
+
+    lists = lambda sizes: pa.array([None if n is None else [f"w{i % 7}" for i in range(n)] for n in sizes], pa.list_(pa.string()))
+    batch = pa.record_batch([pa.array(range(6)), lists([3, None, 40, 0, 5, 9]), lists([1, 2, None, 0, 0, 3])], names=["page_id", "body", "title"])
+    parts = list(token_slices(batch, 10))
+    assert [p.num_rows for p in parts] == [2, 1, 2, 1] and sum(p.num_rows for p in parts) == 6
+    whole = sorted(map(str, group_terms(batch, False).to_pylist()))
+    assert sorted(str(r) for p in parts for r in group_terms(p, False).to_pylist()) == whole
+    assert list(token_slices(batch.slice(0, 0), 10)) == []
