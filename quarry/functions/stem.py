@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from quarry.functions.porter import stem as stem_word
+from quarry.session import ship_package
 
 _MEMO: dict[str, str] = {}
 _MEMO_LIMIT = 1_000_000
@@ -65,6 +66,7 @@ def _replace_column(batch: pa.RecordBatch, name: str, fn) -> pa.RecordBatch:
 
 def stem_array_column(df: DataFrame, column: str) -> DataFrame:
     """Replace the array<string> ``column`` of ``df`` by its stems."""
+    ship_package(df.sparkSession)  # the workers import this module
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,6 +77,7 @@ def stem_array_column(df: DataFrame, column: str) -> DataFrame:
 
 def stem_string_column(df: DataFrame, column: str) -> DataFrame:
     """Replace the string ``column`` of ``df`` by its stem."""
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quarry.functions.stem import stem_array_column, stem_values
 from quarry.functions.text import lower_tokens, tokenize
 from quarry.operators.util import bounded_broadcast
+from quarry.session import ship_package
 
 FIELDS = ("body", "title")
 SLICE_TOKENS = 1_000_000  # grouped at a time
@@ -59,6 +60,7 @@ def page_postings(corpus: DataFrame, stopwords: DataFrame | None = None, stem: b
     are parts of one page: their postings are merged, as in ``wide_postings``
     (their ids are looked for first, in a scan of that column alone; the
     postings of all other pages are not shuffled)."""
+    ship_package(corpus.sparkSession)
     arrays = corpus.select("page_id", *[lower_tokens(tokenize(F.col(f))).alias(f) for f in FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
