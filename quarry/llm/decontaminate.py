@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.shared import chunks
 from quarry.llm.store import release
 
 Q, EDITS, SHARD_CHARS, PIECE = 8, 0.1, 1 << 20, 1 << 19
@@ -204,14 +205,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) ->
 
 def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     for rows in shards(benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], rows=rows) -> Iterator[pa.RecordBatch]:
             items = Items(rows, edits)
             for batch in batches:
-                good = np.ones(batch.num_rows, bool)
-                good[[r[0] for r in found_in(batch.column("text").to_pylist(), items)]] = False
+                # the text is sent once, in its row, and read some of it at a time
+                texts = batch.column("row").field("text").cast(pa.string())
+                good, done = np.ones(batch.num_rows, bool), 0
+                for part in chunks(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+                    good[[done + r[0] for r in found_in(part.column("text").to_pylist(), items)]] = False
+                    done += part.num_rows
                 yield batch.filter(pa.array(good))
             release()
 
