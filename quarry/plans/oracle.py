@@ -79,7 +79,7 @@ def _stop_values() -> str:
 
 DOCS = f"""docs AS (
   SELECT CAST(doc_id AS BIGINT) AS page_id,
-         'doc://' || source || '/' || CAST(doc_id AS VARCHAR) AS url,
+         'doc://' || coalesce(source, '') || '/' || CAST(doc_id AS VARCHAR) AS url,
          array_to_string(regexp_extract_all(split_part(coalesce(text, ''), chr(10), 1), {PAT}), ' ') AS title,
          coalesce(text, '') AS body,
          '' AS last_modified,

@@ -29,10 +29,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents_as_corpus(documents: DataFrame) -> DataFrame:
+    """Documents as pages. A null source is an empty one, so that every page has a URL of its own."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return documents.select(
         F.col("doc_id").cast("long").alias("page_id"),
-        F.concat(F.lit("doc://"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
+        F.concat(F.lit("doc://"), F.coalesce("source", F.lit("")), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
         F.array_join(tokenize(first_line(text)), " ").alias("title"),
         text.alias("body"),
         F.lit("").alias("last_modified"),

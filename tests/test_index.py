@@ -163,3 +163,9 @@ def test_token_slices():
     whole = sorted(map(str, group_terms(batch, False).to_pylist()))
     assert sorted(str(r) for p in parts for r in group_terms(p, False).to_pylist()) == whole
     assert list(token_slices(batch.slice(0, 0), 10)) == []
+
+
+def test_documents_without_source_have_urls(spark):
+    docs = spark.createDataFrame([(1, None, None), (2, "x", "s"), (3, "y", None)], "doc_id long, text string, source string")
+    got = {r.page_id: (r.url, r.body, r["size"]) for r in documents_as_corpus(docs).collect()}
+    assert got == {1: ("doc:///1", "", 0), 2: ("doc://s/2", "x", 1), 3: ("doc:///3", "y", 1)}
