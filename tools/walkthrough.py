@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from quarry.operators import lookup, search  # noqa: E402
+from quarry.operators import lookup, search, similar  # noqa: E402
 from quarry.operators.analyze import analyze  # noqa: E402
 from quarry.operators.index import build_index  # noqa: E402
 from quarry.operators.links import child_links, crawl_tree, derived_edges, parent_links  # noqa: E402
@@ -51,9 +51,8 @@ def run(spark, sf_dir: str, out: str) -> None:
     for row in format_results(page1).orderBy("rank").collect():
         print(row.text)
 
-    # 4. similar pages: every page's top keywords re-run as a query
-    similar = search.search(lookup.keyword_query(index), index)
-    print("similar-page hits:", similar.count())
+    # 4. similar pages of every page
+    print("similar-page hits:", similar.similar_pages(index).count())
 
     # 5. look-ups: tf and positions of a stemmed word on a page, df of words
     first_url = index.pages.orderBy("page_order").first()["url"]
